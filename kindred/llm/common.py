@@ -31,6 +31,15 @@ def tune(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
+def arrow_column(kind: str):
+    """Decorator: a function over Arrow arrays as one over columns; the UDF is made when there is a session."""
+
+    def wrap(function):
+        return lambda *columns: F.arrow_udf(function, kind)(*columns)
+
+    return wrap
+
+
 def utf8(column: str = "text"):
     """A text column as bytes; null reads as empty."""
     return F.coalesce(F.col(column).cast("string").cast("binary"), F.lit(b""))

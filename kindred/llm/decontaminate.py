@@ -83,18 +83,15 @@ def greedy_tiles(doc: np.ndarray, item: np.ndarray, least=MIN_TILE) -> list:
                         k += 1
                     found.append((-k, p, int(j)))
                     longest = max(longest, k)
-        if longest > 2 * length:
-            length = longest
-            continue
         marked = False
-        for k, p, j in sorted(found):
+        for k, p, j in sorted(x for x in found if -x[0] == longest):  # shorter ones wait: what they meet may be taken
             if free_item[p : p - k].all() and free_doc[j : j - k].all():
                 free_item[p : p - k] = False
                 free_doc[j : j - k] = False
                 tiles.append((p, j, -k))
                 marked = True
         if marked:
-            continue  # what was covered in part may have left a shorter match
+            continue
         if length == least:
             return tiles
         length = max(least, length // 2)

@@ -71,7 +71,7 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col="doc_i
     known = (known if known is not None else known_digests(spark)).select("digest", "licence")
     rows = docs.select(F.col(id_col).alias("doc_id"), canonical_lines(F.col(text_col)).alias("lines"))
     trimmed = F.trim(F.regexp_replace("lines", r"[ \n]+", " "))
-    lines = F.filter(F.transform(F.split("lines", "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split("lines", "\n"), lambda x: F.trim(x)), lambda x: x != "")
     digests = F.transform(lines, lambda x: F.sha2(x.cast("binary"), 256))
     rows = rows.select("doc_id", F.when(trimmed != "", F.sha2(trimmed, 256)).alias("whole"), digests.alias("digests"))
     if known.limit(MAP_ROWS + 1).count() <= MAP_ROWS:

@@ -7,6 +7,10 @@ from .common import Scratch, table
 from .sql import LICENSE_SQL, WARC_SQL
 
 
+def count_kind(spans, kind):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def op1_hmm_scoring(spark, sf_dir):
     return hmm.WordHMM().fit_score(table(spark, sf_dir, "documents"))
 
@@ -29,7 +33,7 @@ def op4_pii(spark, sf_dir):
     names = F.array(*[F.lit(k) for k in pii.KINDS])
     told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["first"].cast("string"), s["last"].cast("string"))), ",")
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    counts = [count_kind(base, i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
@@ -40,7 +44,7 @@ def op5_license_scan(spark, sf_dir):
 def op6_secret_scan(spark, sf_dir):
     found = secrets.SecretScan().scan(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] < secrets.BASE)
-    counts = [F.size(F.filter(base, lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[: secrets.BASE])]
+    counts = [count_kind(base, i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[: secrets.BASE])]
     live = F.size(F.filter("spans", lambda s: s["live"])).cast("long")
     return found.select("doc_id", *counts, F.sha2(secrets.told(base), 256).alias("base_sha256"), secrets.told(secrets.reported(F.col("spans"))).alias("spans"), live.alias("n_live"), (F.size("spans") - live).cast("long").alias("n_example"))
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ship, utf8
+from .common import Scratch, arrow_column, ship, utf8
 
 ship(__name__)
 
@@ -55,7 +55,7 @@ def more_spans(text: str) -> list:
     return found
 
 
-@F.arrow_udf(f"array<{SPAN}>")
+@arrow_column(f"array<{SPAN}>")
 def find_spans(texts: pa.Array) -> pa.Array:
     rows = []
     for raw in texts.to_pylist():
@@ -66,7 +66,7 @@ def find_spans(texts: pa.Array) -> pa.Array:
     return pa.array(rows, kind)
 
 
-@F.arrow_udf("string")
+@arrow_column("string")
 def mask_spans(texts: pa.Array, spans: pa.Array) -> pa.Array:
     out = []
     for raw, found in zip(texts.to_pylist(), spans.to_pylist()):

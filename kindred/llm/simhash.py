@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ship, utf8
+from .common import Scratch, arrow_column, ship, utf8
 
 ship(__name__)
 
@@ -54,7 +54,7 @@ def fingerprint(text: bytes, shingle=SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
-@F.arrow_udf("long")
+@arrow_column("long")
 def simhash(texts: pa.Array) -> pa.Array:
     return pa.array(np.array([fingerprint(t) for t in texts.to_pylist()], np.uint64).view(np.int64))
 

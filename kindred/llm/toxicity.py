@@ -16,15 +16,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_remainder, ship, tune, utf8
+from .common import arrow_column, id_remainder, ship, tune, utf8
 
 ship(__name__)
 
 SAMPLE = 8_000  # most labelled rows that the model is fitted on
-VOCABULARY = 4096
-LEAST_DOCS = 3
+VOCABULARY = 1024
+LEAST_DOCS = 5
+LEAST_FAR = 3.0  # standard errors from the corpus's toxic share
 WORD_CHARS = 64
-EPOCHS, RATE, DECAY, FAIRNESS = 150, 0.5, 2e-4, 5.0
+STEPS, RIDGE, FAIRNESS = 25, 0.1, 5.0
 WORD = re.compile(r"[^\W\d_]+")
 #: Identity terms; a term is swapped for the next one of its own group.
 IDENTITY = [
@@ -51,28 +52,36 @@ def sentences(text: str) -> list:
     return [s for s in re.split(r"[.!?\n]+", text) if s.strip()]
 
 
-@F.arrow_udf("array<string>")
+@arrow_column("array<string>")
 def distinct_words(texts: pa.Array) -> pa.Array:
     return pa.array([sorted(w for w in words_of(t.decode("utf-8", "replace")) if len(w) <= WORD_CHARS) for t in texts.to_pylist()], pa.list_(pa.string()))
 
 
-def train(x, y, pairs, decay=DECAY, fairness=FAIRNESS, epochs=EPOCHS):
-    """Full-batch ascent: mean log-loss, a ridge, and the mean squared score change over counterfactual pairs
-    (each a row of differences of word presence)."""
-    n, size = x.shape
-    weights, bias = np.zeros(size), float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
-    seen, seen_bias = np.zeros(size), 0.0
-    for _ in range(epochs):
-        error = y - 1 / (1 + np.exp(-(x @ weights + bias)))
-        step = x.T @ error / n - decay * weights
-        if len(pairs):
-            step -= fairness * pairs.T @ (pairs @ weights) / len(pairs)
-        seen += step**2
-        weights = weights + RATE * step / np.sqrt(seen + 1e-10)
-        up = error.mean()
-        seen_bias += up**2
-        bias += RATE * up / np.sqrt(seen_bias + 1e-10)
-    return weights, bias
+def train(x, y, pairs, ridge=RIDGE, fairness=FAIRNESS, steps=STEPS):
+    """Newton's method on the log-loss, a ridge, and the squared score changes over counterfactual pairs (each a
+    row of differences of word presence), which weigh as much as all labelled rows times `fairness`."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    swaps = np.hstack([pairs, np.zeros((len(pairs), 1))])
+    charge = fairness * len(x) / max(len(swaps), 1) * (swaps.T @ swaps) + ridge * np.diag([*np.ones(pairs.shape[1]), 1e-6])
+    w = np.zeros(x.shape[1])
+    w[-1] = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
+
+    def loss(w):
+        z = x @ w
+        return np.logaddexp(0, z).sum() - y @ z + 0.5 * w @ charge @ w
+
+    now = loss(w)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + charge + 1e-9 * np.eye(len(w)), x.T @ (y - p) - charge @ w)
+        size = 1.0
+        while loss(w + size * step) > now and size > 1e-4:
+            size /= 2
+        w, before = w + size * step, now
+        now = loss(w)
+        if before - now < 1e-6 * (1 + abs(now)):
+            break
+    return w[:-1], float(w[-1])
 
 
 class ToxicityModel:
@@ -96,8 +105,9 @@ class ToxicityModel:
             whole = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"), F.count(F.lit(1)).alias("n")).first()
             t, n = int(whole["t"]), int(whole["n"])
             # words by how far their toxic share is from the corpus's, in standard errors
-            far = F.abs(F.col("t") - F.col("n") * F.lit(t / max(n, 1))) / F.sqrt(F.col("n"))
-            words = [r["word"] for r in tally.orderBy(far.desc(), "word").limit(self.vocabulary).collect()]
+            share = t / max(n, 1)
+            far = F.abs(F.col("t") - F.col("n") * share) / F.sqrt(F.col("n") * max(share * (1 - share), 1e-9))
+            words = [r["word"] for r in tally.where(far >= LEAST_FAR).orderBy(far.desc(), "word").limit(self.vocabulary).collect()]
             words = list(dict.fromkeys([*words, *sorted(SWAP)]))
             at = {w: i for i, w in enumerate(words)}
 
@@ -125,14 +135,14 @@ class ToxicityModel:
         finally:
             rows.unpersist()
         size = len(words)
-        x = np.array([np.unpackbits(np.frombuffer(r["bits"], np.uint8))[:size] for r in got], np.float32).reshape(len(got), size)
+        x = np.array([np.unpackbits(np.frombuffer(r["bits"], np.uint8))[:size] for r in got], np.float64).reshape(len(got), size)
         y = np.array([r["toxic"] for r in got], np.float64)
         pairs = {p for r in got for p in r["pairs"]}
         for w, v in SWAP.items():  # a bare mention of each group, whether or not the sample has one
             diff = np.zeros(size, np.int8)
             diff[at[w]], diff[at[v]] = 1, -1
             pairs.add(diff.tobytes())
-        pairs = np.array([np.frombuffer(p, np.int8) for p in sorted(pairs)], np.float32)
+        pairs = np.array([np.frombuffer(p, np.int8) for p in sorted(pairs)], np.float64)
         if len(y) and 0 < y.sum():
             weights, self.bias = train(x, y, pairs, fairness=self.fairness)
         else:

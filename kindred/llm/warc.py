@@ -91,7 +91,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def original_records(archive: DataFrame) -> DataFrame:
     """The records as WARC text; a revisit has an empty block."""
-    block = F.when(F.col("record_type") == "response", F.decode("payload", F.lit("UTF-8"))).otherwise("")
+    block = F.when(F.col("record_type") == "response", F.decode("payload", "UTF-8")).otherwise("")
     return archive.select(F.concat("header", F.lit(CRLF), block).alias("value"))
 
 
