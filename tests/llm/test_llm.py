@@ -161,9 +161,8 @@ def test_warc(spark, tmp_path):
     assert types == [("", "revisit"), ("1", "revisit"), ("2", "response"), ("3", "revisit"), ("5", "response"), ("5", "response"), ("7", "response")]
     assert spark.read.parquet(f"{path}/payloads").count() == 3
     warc.export_warc(archive, str(tmp_path / "warc"), compression="none")
-    whole = "".join(r[0] for r in spark.read.option("wholetext", True).text(str(tmp_path / "warc")).collect())
+    raw = b"".join(p.read_bytes() for p in sorted((tmp_path / "warc").glob("part-*")))
     records, at = [], 0
-    raw = whole.encode()
     while at < len(raw):
         end = raw.index(b"\r\n\r\n", at) + 4
         length = int(re.search(rb"Content-Length: (\d+)", raw[at:end])[1])
@@ -226,7 +225,7 @@ def test_base_spans(spark, tmp_path, texts, op, kinds):
 def test_crf_adds_missed_forms(spark):
     docs = spark.createDataFrame([(1, "for a table call (212) 555-0147 before noon"), (2, "mail jane.roe at example dot org today"), (3, "in 2019 some 350 people walked 12 miles"), (4, "version 2.10.4 of 2020-05-17")], "doc_id long, text string")
     got = {r["doc_id"]: [(pii.KINDS[s["kind"]], s["first"], s["last"]) for s in r["spans"]] for r in pii.scan_pii(docs).collect()}
-    assert got == {1: [("phone", 17, 31)], 2: [("email", 5, 31)], 3: [], 4: []}
+    assert got == {1: [("phone", 17, 31)], 2: [("email", 5, 32)], 3: [], 4: []}
 
 
 def test_crf_gradient_is_that_of_the_likelihood():
