@@ -1,0 +1 @@
+"""Record linkage and analytics on Spark DataFrames."""
