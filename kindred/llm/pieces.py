@@ -1,12 +1,14 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts are cut where no piece can reach across, into chunks. Every distinct chunk of a stretch of the
-corpus is looked at once: its substrings of bounded length are exploded and equi-joined to the piece
-table, the edges found are grouped by chunk, and Spark's higher-order aggregate folds them. A unigram
-model's fold is Viterbi's. A BPE model's pieces carry merge ranks, not probabilities, and the best path by
-their sum is another segmentation than the model's; for those the same fold over the same lattice
-merges, step by step, the adjacent pair of the best rank, which gives the library's ids. Chunks over
-LATTICE_CHARS or with characters outside the vocabulary go through the same merges in Python.
+Texts are cut where no piece can reach across, into chunks, and the corpus's chunks are counted. The
+DICTIONARY most frequent ones are looked at as relations: their substrings of bounded length are exploded
+and equi-joined to the piece table, the edges found are grouped by chunk, and Spark's higher-order
+aggregate folds them. A unigram model's fold is Viterbi's. A BPE model's pieces carry merge ranks, not
+probabilities, and the best path by their sum is another segmentation than the model's; for those the
+same fold over the same lattice merges, step by step, the adjacent pair of the best rank, which gives the
+library's ids. The dictionary has a fixed bound and goes to every task; rarer chunks, chunks over
+LATTICE_CHARS and characters outside the vocabulary are folded by the same rule where they stand, since a
+join would move several times the input to bring their ids back.
 
 Defined results: null and empty texts have no ids and decode to the empty text. A text that holds U+2581
 itself decodes with a space there, as the library does. Repeated rows are encoded each for themselves;
@@ -16,21 +18,25 @@ other columns are ignored.
 import heapq
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import ship, tune, utf8
+from .common import Scratch, ship, utf8
 
 ship(__name__)
 
 SPACE = "▁"
 LATTICE_CHARS = 62  # boundaries of a chunk fit the bits of a long
 MOST_PIECES = 1_000_000  # pieces up to which the table is broadcast
-BUFFER_CHARS = 4_000_000  # text whose chunks are numbered together
-BLOCK_PARTITIONS = 512  # input partitions whose equal chunks are encoded together
+DICTIONARY = 1 << 17  # most frequent chunks that every task holds with their ids
+DICTIONARY_CHARS = 48
+FLUSH = 400_000  # distinct chunks that a counting task holds
+CACHED = 100_000  # rarer chunks that a task remembers
 
 
 class PieceModel:
@@ -143,9 +149,8 @@ class PieceModel:
 # ---------------------------------------------------------------- the lattice, as relations
 
 
-def lattice(chunks: DataFrame, model: PieceModel, keys=("chunk",), carry=None) -> DataFrame:
-    """Chunks of at most LATTICE_CHARS characters with `edges`: every place where a piece fits. Rows are
-    already dealt by their keys, so the grouping needs no shuffle of its own."""
+def lattice(chunks: DataFrame, model: PieceModel) -> DataFrame:
+    """Chunks of at most LATTICE_CHARS characters with `edges`: every place where a piece fits."""
     spark = chunks.sparkSession
     pieces = spark.createDataFrame([(p, r, i, s) for p, i, s, r in model.rows], "piece string, rank long, id int, score double")
     if len(model.rows) <= MOST_PIECES:
@@ -153,12 +158,11 @@ def lattice(chunks: DataFrame, model: PieceModel, keys=("chunk",), carry=None) -
     rows = chunks.withColumn("n", F.char_length("chunk")).withColumn("s", F.explode(F.expr("sequence(0, n - 1)")))
     rows = rows.withColumn("k", F.explode(F.expr(f"sequence(1, least({model.longest}, n - s))")))
     head = (F.col("s") == 0) & (F.col("k") == 1)
-    carried = [F.when(head, F.col(carry)).alias(carry)] if carry else []
-    rows = rows.select(*keys, "n", *carried, "s", "k", F.expr("substring(chunk, s + 1, k)").alias("piece"))
+    rows = rows.select("chunk", "n", "s", "k", F.expr("substring(chunk, s + 1, k)").alias("piece"))
     rows = rows.join(pieces, "piece", "left").where(F.col("id").isNotNull() | head)
     bit = lambda at: f"shiftleft(1L, {at})"
     edge = F.expr(f"CASE WHEN id IS NOT NULL THEN struct(rank * 64 + s AS key, {bit('s')} | {bit('s + k')} AS ends, ({bit('s + k')} - 1) & ~({bit('s + 1')} - 1) AS inner, s, k, id, score) END")
-    return rows.groupBy(*keys, "n").agg(F.collect_list(edge).alias("edges"), *([F.flatten(F.collect_list(carry)).alias(carry)] if carry else []), F.count_if((F.col("k") == 1) & F.col("id").isNotNull()).alias("known"))
+    return rows.groupBy("chunk", "n").agg(F.collect_list(edge).alias("edges"), F.count_if((F.col("k") == 1) & F.col("id").isNotNull()).alias("known"))
 
 
 #: bits of the boundaries that are left: each step takes out the inner boundary of the best pair.
@@ -177,11 +181,11 @@ def fold(edges: DataFrame, model: PieceModel) -> DataFrame:
     return edges.withColumn("best", F.when(whole, F.expr(VITERBI))).withColumn("ids", F.when(whole, F.expr(BACKWARD))).drop("best")
 
 
-def encode_chunks(chunks: DataFrame, model: PieceModel, keys=("chunk",), carry=None) -> DataFrame:
-    """chunks (keys, carry) with `ids`."""
+def encode_chunks(chunks: DataFrame, model: PieceModel) -> DataFrame:
+    """chunks with `ids`."""
     short = F.char_length("chunk") <= LATTICE_CHARS
-    near = fold(lattice(chunks.where(short), model, keys, carry), model).select(*keys, *([carry] if carry else []), "ids")
-    far = chunks.where(~short).select(*keys, *([carry] if carry else []), F.lit(None).cast("array<int>").alias("ids"))
+    near = fold(lattice(chunks.where(short), model), model).select("chunk", "ids")
+    far = chunks.where(~short).select("chunk", F.lit(None).cast("array<int>").alias("ids"))
 
     @F.arrow_udf("array<int>")
     def by_hand(missing: pa.Array) -> pa.Array:
@@ -194,90 +198,121 @@ def encode_chunks(chunks: DataFrame, model: PieceModel, keys=("chunk",), carry=N
 # ---------------------------------------------------------------- documents
 
 
-def _buffers(batches, cut, dummy):
-    """(buffer id, rows, distinct chunks in order, sequences of their numbers) of about BUFFER_CHARS of text.
-    Equal input gives equal buffers, so two passes over a table number chunks alike."""
-    from pyspark import TaskContext
-
-    base, n = TaskContext.get().partitionId() << 24, 0
+def count_chunks(cut, dummy):
     find = re.compile(cut).findall
 
-    class Numbers(dict):
-        def __missing__(self, chunk):
-            self[chunk] = i = len(self)
-            return i
-
-    numbers, rows, size = Numbers(), [], 0
-    for batch in batches:
-        for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            text = raw.decode("utf-8", "replace")
-            if size and size + len(text) > BUFFER_CHARS:
-                yield base + n, rows, numbers
-                numbers, rows, size, n = Numbers(), [], 0, n + 1
-            chunks = find((SPACE if dummy else "") + text.replace(" ", SPACE)) if text else []
-            rows.append((doc_id, np.fromiter(map(numbers.__getitem__, chunks), np.uint32, len(chunks)), zlib.crc32(text.encode())))
-            size += len(text)
-    if rows:
-        yield base + n, rows, numbers
+    def run(batches):
+        counts = Counter()
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["chunk", "n"])
+
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                if raw:
+                    counts.update(find((SPACE if dummy else "") + raw.decode("utf-8", "replace").replace(" ", SPACE)))
+            if len(counts) > FLUSH:
+                yield out()
+                counts.clear()
+        if counts:
+            yield out()
+
+    return run
+
+
+def frequent_chunks(counts: DataFrame, most: int) -> DataFrame:
+    """The most frequent chunks of at most DICTIONARY_CHARS characters, at most `most` of them: the threshold comes
+    from a small table of chunks by the logarithm of their count."""
+    short = counts.where(F.char_length("chunk") <= DICTIONARY_CHARS)
+    level = F.floor(F.log2("n") * 16).cast("int")
+    least, seen = 0, 0
+    for row in sorted(short.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        if seen + row["count"] > most:
+            least = row["level"] + 1
+            break
+        seen += row["count"]
+    return short.where(level >= least).select("chunk")
+
+
+class Codes(dict):
+    """Chunk to number: below `base` the shared dictionary, above it chunks that this task has met and encoded."""
+
+    def __init__(self, chunks, model):
+        super().__init__(zip(chunks, range(len(chunks))))
+        self.base, self.model, self.own, self.values, self.lengths = len(chunks), model, [], [], []
+
+    def __missing__(self, chunk):
+        ids = self.model.encode_chunk(chunk)
+        self[chunk] = i = self.base + len(self.own)
+        self.own.append(chunk)
+        self.values += ids
+        self.lengths.append(len(ids))
+        return i
+
+    def shrink(self):
+        if len(self.own) > CACHED:
+            for c in self.own:
+                del self[c]
+            self.own, self.values, self.lengths = [], [], []
+
+
+def encode_batches(shared, model, id_type):
+    find = re.compile(model.cut).findall
+
+    def run(batches):
+        v = shared.value
+        if "codes" not in v:  # one dictionary for all tasks of a worker
+            table = v.pop("table")
+            ids = table.column("ids").combine_chunks()
+            v["codes"] = Codes(table.column("chunk").to_pylist(), model)
+            v["values"], v["lengths"] = ids.flatten().to_numpy().astype(np.int32), np.diff(ids.offsets.to_numpy()).astype(np.int64)
+        codes = v["codes"]
+        for batch in batches:
+            parts, sizes, sums = [], [], []
+            for raw in batch.column(1).to_pylist():
+                text = raw.decode("utf-8", "replace")
+                chunks = find((SPACE if model.dummy_prefix else "") + text.replace(" ", SPACE)) if text else []
+                parts.append(np.fromiter(map(codes.__getitem__, chunks), np.int64, len(chunks)))
+                sizes.append(len(chunks))
+                sums.append(zlib.crc32(text.encode()))
+            values = np.concatenate([v["values"], np.array(codes.values, np.int32)])
+            lengths = np.concatenate([v["lengths"], np.array(codes.lengths, np.int64)])
+            starts = np.cumsum(lengths) - lengths
+            own = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+            n = lengths[own]
+            bounds = np.concatenate([[0], np.cumsum(n)])
+            got = values[np.repeat(starts[own] - bounds[:-1], n) + np.arange(bounds[-1])]
+            bounds = bounds[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])]
+            good = [zlib.crc32(model.decode(got[a:b].tolist()).encode()) == c for a, b, c in zip(bounds[:-1], bounds[1:], sums)]
+            ids = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(got, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(id_type), pa.array(np.diff(bounds)), ids, pa.array(good, pa.bool_())], ["doc_id", "n_tokens", "ids", "round_trip"])
+            codes.shrink()
+
+    return run
 
 
 class PieceCodec:
-    def __init__(self, spark: SparkSession, path: str | None = None, model: PieceModel | None = None):
+    def __init__(self, spark: SparkSession, path: str | None = None, model: PieceModel | None = None, dictionary: int = DICTIONARY):
         if model is None:
             if path is None:
                 import public_tokenizers
 
                 path = public_tokenizers.path("piece_bpe_32k.model")
             model = PieceModel.load(path)
-        self.spark, self.model = spark, model
+        self.spark, self.model, self.dictionary = spark, model, dictionary
 
     def encode(self, docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
         """doc_id, n_tokens, ids, round_trip (the ids decode to the text) for each row of docs."""
-        tune(self.spark)
-        model, cut, dummy = self.model, self.model.cut, self.model.dummy_prefix
+        scratch, model = Scratch(self.spark, "pieces"), self.model
         source = docs.select(F.col(id_col).alias("doc_id"), utf8(text_col).alias("text"))
-        kind = source.schema["doc_id"].dataType.simpleString()
-
-        def words(batches):
-            for buffer, _, numbers in _buffers(batches, cut, dummy):
-                found = list(numbers)
-                for i in range(0, len(found), 50_000):
-                    part = found[i : i + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), (buffer >> 24) // BLOCK_PARTITIONS, np.int32)), pa.array(part, pa.string()), pa.array(np.full(len(part), buffer, np.int64)), pa.array(np.arange(i, i + len(part), dtype=np.int32))], ["block", "chunk", "buffer", "slot"])
-
-        def sequences(batches):
-            for buffer, rows, _ in _buffers(batches, cut, dummy):
-                for i in range(0, len(rows), 2_000):
-                    part = rows[i : i + 2_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), buffer, np.int64)), pa.array([r[0] for r in part], id_type), pa.array([r[1].tobytes() for r in part], pa.binary()), pa.array([r[2] for r in part], pa.int64())], ["buffer", "doc_id", "slots", "crc"])
-
-        id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-        places = source.mapInArrow(words, "block int, chunk string, buffer long, slot int").groupBy("block", "chunk").agg(F.collect_list(F.struct("buffer", "slot")).alias("places"))
-        coded = encode_chunks(places, model, ("block", "chunk"), "places")
-        coded = coded.select("ids", F.explode("places").alias("p")).select("p.buffer", "p.slot", "ids")
-        rows = source.mapInArrow(sequences, f"buffer long, doc_id {kind}, slots binary, crc long")
-
-        def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
-            slots = right.column("slot").to_numpy()
-            ids = right.column("ids").combine_chunks()
-            values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
-            start, length = np.zeros(len(slots), np.int64), np.zeros(len(slots), np.int64)
-            start[slots], length[slots] = offsets[:-1], np.diff(offsets)
-            bounds, parts, good = [0], [], []
-            for raw, crc in zip(left.column("slots").to_pylist(), left.column("crc").to_pylist()):
-                own = np.frombuffer(raw, np.uint32)
-                n = length[own]
-                total = int(n.sum())
-                at = np.repeat(start[own] - (np.cumsum(n) - n), n) + np.arange(total)
-                got = values[at]
-                parts.append(got)
-                bounds.append(bounds[-1] + total)
-                good.append(zlib.crc32(model.decode(got.tolist()).encode()) == crc)
-            every = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-            lists = pa.LargeListArray.from_arrays(pa.array(np.array(bounds, np.int64)), pa.array(every, pa.int32())).cast(pa.list_(pa.int32()))
-            return pa.table({"doc_id": left.column("doc_id"), "n_tokens": pa.array(np.diff(bounds), pa.int64()), "ids": lists, "round_trip": pa.array(good, pa.bool_())})
-
-        return rows.groupBy("buffer").cogroup(coded.groupBy("buffer")).applyInArrow(put_together, f"doc_id {kind}, n_tokens long, ids array<int>, round_trip boolean")
+        kind = source.schema["doc_id"].dataType
+        counts = source.select("text").mapInArrow(count_chunks(model.cut, model.dummy_prefix), "chunk string, n long")
+        counts = scratch.save(counts.groupBy("chunk").agg(F.sum("n").alias("n")), "counts")
+        chunks = scratch.save(frequent_chunks(counts, self.dictionary), "frequent")
+        table = scratch.save(encode_chunks(chunks, model), "dictionary").toArrow()
+        shared = self.spark.sparkContext.broadcast({"table": table.select(["chunk", "ids"])})
+        id_type = to_arrow_type(kind)
+        return source.mapInArrow(encode_batches(shared, model, id_type), f"doc_id {kind.simpleString()}, n_tokens long, ids array<int>, round_trip boolean")
 
     def decode(self, encoded: DataFrame, ids_col="ids"):
         """Text column for a column of ids."""

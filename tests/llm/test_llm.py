@@ -465,11 +465,12 @@ def test_pieces_match_the_library(spark, texts):
     lib = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     rows = dict(texts) | {10_001: "  two  spaces \t tab\n\n", 10_002: "日本語 텍스트 😀🎉 ok", 10_003: "x" * 300 + " " + "ab" * 100, 10_004: "", 10_005: "a\r\n);\r\n", 10_006: " "}
     docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
-    codec = pieces.PieceCodec(spark)
-    encoded = codec.encode(docs)
-    for r in encoded.collect():
-        want = lib.encode(rows[r["doc_id"]] or "")
-        assert r["ids"] == want and r["n_tokens"] == len(want) and r["round_trip"], r["doc_id"]
+    for most in (300, pieces.DICTIONARY):
+        codec = pieces.PieceCodec(spark, dictionary=most)
+        encoded = codec.encode(docs)
+        for r in encoded.collect():
+            want = lib.encode(rows[r["doc_id"]] or "")
+            assert r["ids"] == want and r["n_tokens"] == len(want) and r["round_trip"], r["doc_id"]
     assert {r["doc_id"]: r["text"] for r in codec.decode(encoded).collect()} == {i: t or "" for i, t in rows.items()}
 
 
