@@ -33,7 +33,7 @@ ship(__name__)
 SPACE = "▁"
 LATTICE_CHARS = 62  # boundaries of a chunk fit the bits of a long
 MOST_PIECES = 1_000_000  # pieces up to which the table is broadcast
-DICTIONARY = 1 << 17  # most frequent chunks that every task holds with their ids
+DICTIONARY = 1 << 18  # most frequent chunks that every task holds with their ids
 DICTIONARY_CHARS = 48
 FLUSH = 400_000  # distinct chunks that a counting task holds
 CACHED = 100_000  # rarer chunks that a task remembers
@@ -48,6 +48,7 @@ class PieceModel:
         ranks = {s: r for r, s in enumerate(sorted({s for _, _, s in pieces}, reverse=True))}
         self.rows = [(p, i, float(s), ranks[s]) for p, i, s in pieces]
         self.table = {p: (r, i) for p, i, _, r in self.rows}
+        self.ranks, self.ids = {p: r for p, _, _, r in self.rows}, {p: i for p, i, *_ in self.rows}
         self.longest = max((len(p) for p, *_ in self.rows), default=1)
         crossing = [p for p in self.table if SPACE in p.lstrip(SPACE)]
         if crossing:
@@ -55,7 +56,7 @@ class PieceModel:
         alone = "".join(c for c in map(chr, range(32)) if not any(c in p for p in self.table))
         shut = re.escape(alone)
         self.cut = (f"[{shut}]|" if alone else "") + f"{SPACE}*[^{SPACE}{shut}]+|{SPACE}+"
-        self.surface = {i: p.encode() for p, i, *_ in self.rows}
+        self.surface = {unk_id: b" \xe2\x81\x87 ", **{i: p.encode() for p, i, *_ in self.rows}}
         if byte_ids:
             self.surface.update((i, bytes([b])) for b, i in enumerate(byte_ids))
 
@@ -81,9 +82,33 @@ class PieceModel:
         return [self.byte_ids[b] for b in char.encode("utf-8", "replace")] if self.byte_ids else [self.unk_id]
 
     def encode_chunk(self, chunk: str) -> list:
-        """Ids of one chunk, by the model's own rule, in n log n steps."""
+        """Ids of one chunk, by the model's own rule."""
         if self.kind == "unigram":
             return self.best_path(chunk)
+        if len(chunk) > LATTICE_CHARS:
+            return self.encode_long(chunk)
+        rank, never = self.ranks.get, len(self.rows)
+        parts = list(chunk)
+        ranks = [rank(a + b, never) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == never:
+                break
+            i = ranks.index(best)
+            parts[i] += parts.pop(i + 1)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + parts[i], never)
+            if i < len(ranks):
+                ranks[i] = rank(parts[i] + parts[i + 1], never)
+        ids = self.ids
+        try:
+            return [ids[p] for p in parts]
+        except KeyError:
+            return [x for p in parts for x in ([ids[p]] if p in ids else self.unknown(p))]
+
+    def encode_long(self, chunk: str) -> list:
+        """The same merges in n log n steps, for chunks of any length."""
         table, n = self.table, len(chunk)
         after, before, ends = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         heap = []
@@ -142,7 +167,11 @@ class PieceModel:
         return [i for c in self.chunks(text) for i in self.encode_chunk(c)]
 
     def decode(self, ids) -> str:
-        text = b"".join(self.surface.get(i, b" \xe2\x81\x87 " if i == self.unk_id else b"") for i in ids).decode("utf-8", "replace").replace(SPACE, " ")
+        try:
+            raw = b"".join(map(self.surface.__getitem__, ids))
+        except KeyError:  # control ids have no surface
+            raw = b"".join(self.surface.get(i, b"") for i in ids)
+        text = raw.decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 

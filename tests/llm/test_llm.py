@@ -474,6 +474,14 @@ def test_pieces_match_the_library(spark, texts):
     assert {r["doc_id"]: r["text"] for r in codec.decode(encoded).collect()} == {i: t or "" for i, t in rows.items()}
 
 
+def test_short_and_long_merges_agree(spark):
+    model = pieces.PieceCodec(spark).model
+    draw = np.random.default_rng(8)
+    for _ in range(300):
+        chunk = "▁" + "".join(draw.choice(list("abcdeinrst_é日▁"), draw.integers(0, 40)))
+        assert model.encode_chunk(chunk) == model.encode_long(chunk)
+
+
 def test_viterbi_of_a_unigram_model(spark):
     draw = np.random.default_rng(4)
     every = sorted({"".join(draw.choice(list("abc"), n)) for n in (1, 2, 3, 4) for _ in range(20)} | set("abc") | {"▁"})
@@ -483,7 +491,7 @@ def test_viterbi_of_a_unigram_model(spark):
     score = {i: s for _, i, s, _ in model.rows}
     for w in words:
         want = model.best_path(w)
-        assert math.isclose(sum(score.get(i, -99) for i in got[w]), sum(score.get(i, -99) for i in want)) and b"".join(model.surface.get(i, b"d") for i in got[w]).decode() == w
+        assert math.isclose(sum(score.get(i, -99) for i in got[w]), sum(score.get(i, -99) for i in want)) and b"".join(model.surface[i] if i else b"d" for i in got[w]).decode() == w
 
 
 def test_pieces_odd(spark, odd, none):
