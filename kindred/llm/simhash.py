@@ -186,23 +186,25 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) of every node on an edge, root its component's least node: alternating large-star and
     small-star rounds, each written before the next; rounds grow with the logarithm of a component's size."""
 
-    def star(edges, large):
+    def star(edges, large, name):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # written, so that both sides of the join are plain scans and Spark can split a node of very many edges
+        low = scratch.save(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), f"{name}-low")
+        near = both.join(low, "a")
         if large:
-            near = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            near = near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         else:
-            near = both.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        return near.where("a <> b").distinct()
+            near = near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
+        return scratch.save(near.where("a <> b").distinct(), name)
 
     edges = scratch.save(edges, "edges0")
     mark, turn = None, 0
     while True:
         turn += 1
-        edges = scratch.save(star(star(edges, True), False), f"edges{turn}")
+        edges = star(star(edges, True, f"large{turn}"), False, f"small{turn}")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if turn > 1:
-            scratch.drop(f"edges{turn - 1}")
+        for old in [f"{size}{turn - 1}{end}" for size in ("large", "small") for end in ("", "-low")] if turn > 1 else []:
+            scratch.drop(old)
         if now == mark:
             break
         mark = now
@@ -219,9 +221,9 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", most=LIST
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
     classes = scratch.save(rows.groupBy("fp").agg(F.min(place).alias("first")), "classes")
     roots = scratch.save(components(link_fingerprints(classes.select("fp"), scratch, most), scratch), "roots")
-    named = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("first").alias("least"))
-    # written, so that a fingerprint of very many rows meets a plain scan and Spark can split it
+    # written, so that a component or fingerprint of very many rows meets a plain scan and Spark can split it
+    named = scratch.save(classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "named")
+    least = scratch.save(named.groupBy("root").agg(F.min("first").alias("least")), "least")
     told = scratch.save(named.join(least, "root").select("fp", F.col("least.doc_id").alias("component_id"), F.col("least.row").alias("least_row")), "told")
     return rows.join(told, "fp").select("row", "doc_id", "fp", "component_id", "least_row")
 
