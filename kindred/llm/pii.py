@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, tune, utf8
+from .common import hash_sample, ship, tune, utf8
 
 ship(__name__)
 
@@ -258,7 +258,7 @@ class PiiScan:
         tune(docs.sparkSession)
         text = F.col(text_col).cast("string")
         likely = docs.select(text.alias("text")).where((F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike(r"@[A-Za-z0-9-]+\.|\+[0-9][ ().0-9-]{8}|[0-9]{12}|[0-9]+\.[0-9]+\.[0-9]+\.[0-9]"))
-        texts = [r["text"] for r in likely.orderBy(F.xxhash64("text"), "text").limit(self.sample).collect()]
+        texts = [r["text"] for r in hash_sample(likely, "text", self.sample).collect()]
         examples = []
         for t, kind, span in EXAMPLES * 3:
             at = t.index(span)
