@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_remainder, ship, utf8
+from .common import Scratch, hash_sample, id_remainder, ship, utf8
 
 ship(__name__)
 
@@ -244,7 +244,7 @@ class WordHMM:
     def _train(self, encoded):
         train = encoded.where(~F.col("held_out")).select("classes")
         size = self.own + SUFFIX_CLASSES
-        sample = train.where(F.octet_length("classes") <= 2 * WARM_TOKENS).orderBy(F.xxhash64("classes"), "classes").limit(WARM_DOCS).collect()
+        sample = hash_sample(train.where(F.octet_length("classes") <= 2 * WARM_TOKENS), "classes", WARM_DOCS).collect()
         draw = np.random.default_rng(7)
         spread = self.shared * np.exp(draw.normal(0, 0.7, (self.states, size)))
         stay = np.full((self.states, self.states), 0.1 / self.states) + 0.9 * np.eye(self.states)
