@@ -13,6 +13,7 @@ from ..functions.columns import ratio, skeleton, squash, words
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Limits and word patterns of the key families.
 MAX_DF = 400
 HONORIFIC = r"^(shri|sri|shree|smt|mr|mrs|ms|m s|messrs|dr)\b"
 NAME_STOP = r"\b(pvt|ltd|llc|llp|lp|inc|corp|co|plc|pc|opc|sarl|sas|sasu|sa|eurl|sci|snc|ei|and|the|of|et)\b"
@@ -187,6 +188,7 @@ def rrf(channels: list, base: DataFrame | None = None, k: int = 60, n: int = 5)
     return top(fused, "rec", "sc", "s1", n, "extra_rank").select("rec", "s1", "extra_rank")
 
 
+#: What a channel has for a pair that it didn't find.
 NO_SCORES = {"sparse_score": 0.0, "sparse_rank": 99, "dense_score": -1.0, "dense_rank": 99}
 
 
