@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, tune, utf8
+from .common import hash_sample, ship, tune, utf8
 
 ship(__name__)
 
@@ -77,10 +77,8 @@ class RatioRule:
     def fit(self, docs: DataFrame, labels: DataFrame) -> "RatioRule":
         tune(docs.sparkSession)
         good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("good_id")).distinct()
-        n = good.count()
-        if n > self.trusted:  # an even share by hash, then a hard bound
-            share = int(self.trusted / n * (1 << 30))
-            good = good.where(F.pmod(F.xxhash64("good_id"), F.lit(1 << 30)) < share).limit(self.trusted)
+        if good.count() > self.trusted:  # the same rows in every run, so that verdicts repeat
+            good = hash_sample(good, "good_id", self.trusted)
         rows = docs.select(utf8("text").alias("text"), F.col("doc_id").alias("own_id"))
         rows = rows.join(F.broadcast(good), rows.own_id == good.good_id, "left").select("text", F.col("good_id").isNotNull())
 

@@ -16,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_column, id_remainder, ship, tune, utf8
+from .common import arrow_column, hash_sample, id_remainder, ship, tune, utf8
 
 ship(__name__)
 
 SAMPLE = 8_000  # most labelled rows that the model is fitted on
+TEXT_PAIRS = 32  # most distinct counterfactual pairs that one labelled text gives to the fit
 VOCABULARY = 1024
 LEAST_DOCS = 5
 LEAST_FAR = 3.0  # standard errors from the corpus's toxic share
@@ -85,16 +86,16 @@ def train(x, y, pairs, ridge=RIDGE, fairness=FAIRNESS, steps=STEPS):
 
 
 class ToxicityModel:
-    def __init__(self, sample=SAMPLE, vocabulary=VOCABULARY, folds=5, held_fold=0, fairness=FAIRNESS):
+    def __init__(self, sample=SAMPLE, vocabulary=VOCABULARY, folds=5, held_fold=0, fairness=FAIRNESS, text_pairs=TEXT_PAIRS):
+        self.text_pairs = text_pairs
         self.sample, self.vocabulary, self.folds, self.held_fold, self.fairness = sample, vocabulary, folds, held_fold, fairness
 
     def fit(self, docs: DataFrame, labels: DataFrame) -> "ToxicityModel":
         tune(docs.sparkSession)
         marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (id_remainder(self.folds) != self.held_fold))
         marks = marks.groupBy(F.col("doc_id").alias("marked_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-        n = marks.count()
-        if n > self.sample:  # an even share by hash, then a hard bound
-            marks = marks.where(F.pmod(F.xxhash64("marked_id"), F.lit(1 << 30)) < int(self.sample / n * (1 << 30))).limit(self.sample)
+        if marks.count() > self.sample:  # the same rows in every run, so that scores repeat
+            marks = hash_sample(marks, "marked_id", self.sample)
         texts = docs.select(F.col("doc_id").alias("own_id"), utf8("text").alias("text"))
         rows = texts.join(F.broadcast(marks), texts.own_id == marks.marked_id)
         # copies of one text would make its chance words look meaningful
@@ -109,7 +110,7 @@ class ToxicityModel:
             far = F.abs(F.col("t") - F.col("n") * share) / F.sqrt(F.col("n") * max(share * (1 - share), 1e-9))
             words = [r["word"] for r in tally.where(far >= LEAST_FAR).orderBy(far.desc(), "word").limit(self.vocabulary).collect()]
             words = list(dict.fromkeys([*words, *sorted(SWAP)]))
-            at = {w: i for i, w in enumerate(words)}
+            at, most_pairs = {w: i for i, w in enumerate(words)}, self.text_pairs
 
             @F.arrow_udf("struct<bits:binary,pairs:array<binary>>")
             def presence(texts: pa.Array, found: pa.Array) -> pa.Array:
@@ -126,7 +127,7 @@ class ToxicityModel:
                                 diff[[at[w] for w in a - b if w in at]] = 1
                                 diff[[at[w] for w in b - a if w in at]] = -1
                                 pairs[diff.tobytes()] = True
-                            if len(pairs) >= 32:
+                            if len(pairs) >= most_pairs:
                                 break
                     rows.append({"bits": np.packbits(bits).tobytes(), "pairs": list(pairs)})
                 return pa.array(rows, pa.struct([("bits", pa.binary()), ("pairs", pa.list_(pa.binary()))]))

@@ -397,6 +397,18 @@ def test_toxicity_counterfactual(spark):
     assert gap[50.0] < 0.35 * gap[0.0]
 
 
+def test_bounded_fits_repeat(spark):
+    """More labelled rows than the bound: the same ones are taken however the labels are dealt."""
+    rows = [(i, f"the {'vile' if i % 4 == 0 else 'kind'} w{i % 37} here v{i % 11}", 1, int(i % 4 == 0)) for i in range(600)]
+    every = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int")
+    docs = every.select("doc_id", "text")
+    one, many = every.repartition(1), every.repartition(7, "text")
+    weights = [toxicity.ToxicityModel(sample=90).fit(docs, x).weights for x in (one, many)]
+    assert weights[0] == weights[1] and weights[0]
+    ratios = [quality.RatioRule(trusted=90).fit(docs, x).ratios for x in (one, many)]
+    assert (ratios[0] == ratios[1]).all() and ratios[0].any()
+
+
 def test_toxicity_odd(odd, none, labels, no_labels):
     for marks in (labels, no_labels):
         rows = toxicity.score_documents(odd, marks).collect()
