@@ -20,6 +20,8 @@ NAME_STOP = r"\b(pvt|ltd|llc|llp|lp|inc|corp|co|plc|pc|opc|sarl|sas|sasu|sa|eurl
 FAMILIES = "npqkgixahsyz"
 GRAM, GRAMS = 4, 28
 
+BLOCK_ROWS = 8192  # vectors of either side that one task of the dense search compares
+
 
 def top(df: DataFrame, by: str, score: str, tie: str, k: int | None, rank: str) -> DataFrame:
     """Best k rows per `by`, ranked from 1; equal scores stand in the order of `tie`."""
@@ -90,41 +92,41 @@ def sparse_search(query_keys: DataFrame, postings: DataFrame, norms: DataFrame,
     return top(scored, "rec", "sparse_score", "s1", k, "sparse_rank")
 
 
-def dense_search(queries: DataFrame, entities: DataFrame, k: int = 10, scope: str = "country", block: int = 4096, spread: int = 8, skip_self: bool = False) -> DataFrame:
-    """(rec, s1, dense_score, dense_rank): exact cosine top-k inside a scope. Both sides are cut into blocks; a task
-    compares one block of queries with one block of entities and passes on its own best k of each query."""
+def dense_search(queries: DataFrame, entities: DataFrame, k: int = 10, scope: str = "country", block: int = 1024, spread: int | None = None, skip_self: bool = False) -> DataFrame:
+    """(rec, s1, dense_score, dense_rank): exact cosine top-k inside a scope; rows without a vector are in no pair.
+    Both sides are cut by hash into as many blocks of about BLOCK_ROWS as their counts need (or `spread`), so that a
+    task holds one block of each however large a scope is, and passes on its own best k of each query."""
+    n_queries, n_entities = (spread or max(1, -(-df.count() // BLOCK_ROWS)) for df in (queries, entities))
 
-    def blocks(df, own, side, other):
-        n = F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int")
-        rows = df.select(F.col("id"), F.col(scope).alias("scope"), F.col("embedding").alias("v")).withColumn(own, n)
-        return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))).withColumn("side", F.lit(side))
+    def blocks(df, own, n_own, other, n_other, side):
+        rows = df.where(F.col("embedding").isNotNull()).select(F.col("id"), F.col(scope).alias("scope"), F.col("embedding").alias("v"))
+        rows = rows.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int"))
+        return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))).withColumn("side", F.lit(side))
 
-    rows = blocks(queries, "qb", 0, "eb").unionByName(blocks(entities, "eb", 1, "qb"))
+    rows = blocks(queries, "qb", n_queries, "eb", n_entities, 0).unionByName(blocks(entities, "eb", n_entities, "qb", n_queries, 1))
     kind = dict(queries.dtypes)["id"]
 
     def compare(t: pa.Table) -> pa.Table:
-        side = t.column("side").to_numpy()
-        ids, v = np.array(t.column("id").to_pylist(), dtype=object), t.column("v").combine_chunks()
-        m = np.array(v.to_pylist(), np.float64).reshape(len(ids), -1)
+        side, ids = t.column("side").to_numpy(), t.column("id").combine_chunks()
+        place = np.unique(np.array(ids.to_pylist(), dtype=object), return_inverse=True)[1]  # equal ids share one; ties stand in its order
+        m = t.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(ids), -1)
         size = np.sqrt((m * m).sum(1))
         m = m / np.where(size == 0, 1, size)[:, None]
         q, e = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        e = e[np.argsort(ids[e], kind="stable")] if len(e) else e
-        out = [[], [], []]
-        for i in range(0, len(q), block):
-            part = q[i : i + block]
+        e = e[np.argsort(place[e], kind="stable")]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for part in (q[i : i + block] for i in range(0, len(q), block)):
             scores = np.round(m[part] @ m[e].T, 6)
             if skip_self:
-                scores[ids[part][:, None] == ids[e][None, :]] = -np.inf
-            order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            for n, row in enumerate(order):
-                for c in row:
-                    s = scores[n, c]
-                    if s > -np.inf:
-                        out[0].append(ids[part[n]])
-                        out[1].append(ids[e[c]])
-                        out[2].append(float(s))
-        return pa.table({"rec": pa.array(out[0], t.schema.field("id").type), "s1": pa.array(out[1], t.schema.field("id").type), "dense_score": pa.array(out[2], pa.float64())})
+                scores[place[part][:, None] == place[e][None, :]] = -np.inf
+            least = np.partition(scores, -k, axis=1)[:, -k, None] if len(e) > k else -np.inf
+            row, col = np.nonzero((scores >= least) & (scores > -np.inf))
+            order = np.lexsort((col, -scores[row, col], row))
+            row, col = row[order], col[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < k
+            found.append((part[row[best]], e[col[best]], scores[row[best], col[best]]))
+        rec, s1, score = (np.concatenate(x) for x in zip(*found))
+        return pa.table({"rec": ids.take(pa.array(rec)), "s1": ids.take(pa.array(s1)), "dense_score": pa.array(score)})
 
     near = rows.groupBy("scope", "qb", "eb").applyInArrow(compare, f"rec {kind}, s1 {kind}, dense_score double")
     return top(near, "rec", "dense_score", "s1", k, "dense_rank")

@@ -104,7 +104,7 @@ s AS (SELECT q.id AS rec, x.id AS s1, round(list_cosine_similarity(q.e, x.e), 6)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rec ORDER BY dense_score DESC, s1) AS dense_rank FROM s) WHERE dense_rank <= 10""")
 def dense_search(spark, d):
     v = t(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("country"), "embedding")
-    return B.dense_search(v, v, 10, spread=2, skip_self=True)
+    return B.dense_search(v, v, 10, skip_self=True)
 
 
 GRAMS = f"""{NAMES}, u AS (SELECT DISTINCT country AS scope, name_core FROM names), doc AS (SELECT scope || '/' || name_core AS id, scope, name_core FROM u),
