@@ -88,6 +88,14 @@ def test_dense_search_in_blocks_is_exact(spark):
     assert one == many and len(one) == 61 * 4
 
 
+def test_dense_search_of_ties_names_and_missing_vectors(spark):
+    rows = [(f"e{i}", 0, [1.0, 0.0]) for i in range(6)] + [("far", 0, [0.0, 1.0]), ("none", 0, None), ("alone", 1, [1.0, 1.0])]
+    v = spark.createDataFrame(rows, "id string, country int, embedding array<float>")
+    got = {(r["rec"], r["dense_rank"]): (r["s1"], r["dense_score"]) for r in blocking.dense_search(v, v, 2, block=2, skip_self=True).collect()}
+    assert got == {**{(f"e{i}", n + 1): (f"e{s}", 1.0) for i in range(6) for n, s in enumerate([x for x in range(6) if x != i][:2])}, ("far", 1): ("e0", 0.0), ("far", 2): ("e1", 0.0)}
+    assert blocking.dense_search(v.limit(0), v, 2).count() == 0
+
+
 def test_best_rule_and_orphans(spark):
     rt = spark.createDataFrame([(1, 0.9, 0.1, 1, True, True), (2, 0.6, 0.5, 0, True, True), (3, 0.95, 0.0, 1, False, True), (4, 0.7, 0.0, 0, False, False)], "rec long, p1 double, p2 double, label1 int, has_addr boolean, owned boolean")
     best = metrics.best_rule(rt, metrics.rule_grid(), metrics.orphan_weight(0.4, 1, 3))
