@@ -98,6 +98,8 @@ def compare_lists(most, borders):
         def close(last):
             """Ends the list that is held."""
             nonlocal held, size, over, first
+            if slot is None:  # no list is held yet: the first one is still to come
+                return
             values = np.concatenate(held) if held else np.zeros(0, np.uint64)
             done, was_first = over, first
             held, size, over, first = [], 0, False, False

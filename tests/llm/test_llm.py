@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -359,6 +360,22 @@ def test_links_of_crowded_lists(spark, most):
     assert [roots.get(s, s) for s in signed] == brute_components(signed, prints)
 
 
+@pytest.mark.parametrize("most", [3, 10_000])
+def test_lists_across_borders(most):
+    """Wherever a border between two tasks falls, every fingerprint of a list that it cuts is linked or passed on."""
+    rows = sorted([(0, 1, 11), (0, 2, 21), (0, 2, 22), (0, 2, 23), (0, 2, 24), (0, 2, 25), (0, 3, 31), (0, 3, 32), (0, 4, 41), (1, 0, 51), (1, 1, 61)])
+
+    def run(part):
+        batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), (pa.int32(), pa.int64(), pa.int64()))], ["slot", "part", "a"])
+        return [tuple(r.values()) for found in simhash.compare_lists(most, True)([batch]) for r in found.to_pylist()]
+
+    for cut in range(1, len(rows)):
+        name = rows[cut - 1][:2]
+        if name == rows[cut][:2]:
+            told = run(rows[:cut]) + run(rows[cut:])
+            assert {r[3] for r in told if r[0] in (1, 2) and (r[1], r[2]) == name} == {a for *k, a in rows if tuple(k) == name}
+
+
 def test_simhash_odd(odd, none):
     got = simhash.near_duplicates(odd).collect()
     assert len(got) == 7
