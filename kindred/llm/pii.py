@@ -31,6 +31,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|[^\w\s]|_")
 ANCHOR = re.compile(r"[0-9@]|\b(?:at|dot|arroba|punto)\b")
 MAX_TOKENS = 12
+SPAN_CHARS = 64  # characters of the longest candidate
+WINDOW_CHARS = 400  # a stretch longer than this ends with its line
+START_BLOCK = 512  # first tokens whose candidates are scored at once, so that a long line's features stay bounded
 MARGIN = 2.5  # log-odds over leaving the segment out that an added span needs
 SAMPLE, SAMPLE_CHARS = 150, 20_000
 EPOCHS, RATE, DECAY = 120, 0.5, 1e-3
@@ -127,22 +130,28 @@ def features(text: str, a: int, b: int) -> np.ndarray:
 
 
 def windows(text: str):
-    """Stretches of tokens about the anchors, as lists of (start, end); their number of tokens is bounded."""
+    """Stretches of tokens about the anchors, as lists of (start, end). They reach as far as a candidate can from
+    an anchor, and a long one is cut at line ends only, so no candidate lies across a cut."""
     reach = []
     for m in ANCHOR.finditer(text):
-        lo, hi = max(0, m.start() - 40), min(len(text), m.end() + 40)
-        if reach and lo <= reach[-1][1] and hi - reach[-1][0] <= 400:
+        lo, hi = max(0, m.start() - SPAN_CHARS), min(len(text), m.end() + SPAN_CHARS)
+        if reach and lo <= reach[-1][1]:
             reach[-1][1] = hi
         else:
-            reach.append([lo if not reach else max(lo, reach[-1][1]), hi])
+            reach.append([lo, hi])
     for lo, hi in reach:
-        while lo > 0 and text[lo - 1].isalnum() and text[lo].isalnum() and hi - lo < 500:
+        least, most = max(0, lo - SPAN_CHARS), min(len(text), hi + SPAN_CHARS)
+        while lo > least and text[lo - 1].isalnum() and text[lo].isalnum():
             lo -= 1
-        while hi < len(text) and text[hi - 1].isalnum() and text[hi].isalnum() and hi - lo < 500:
+        while hi < most and text[hi - 1].isalnum() and text[hi].isalnum():
             hi += 1
-        tokens = [m.span() for m in TOKEN.finditer(text, lo, hi)]
-        if tokens:
-            yield tokens
+        while lo < hi:
+            cut = text.find("\n", lo + WINDOW_CHARS, hi)
+            end = hi if cut < 0 else cut
+            tokens = [m.span() for m in TOKEN.finditer(text, lo, end)]
+            if tokens:
+                yield tokens
+            lo = end + 1
 
 
 def segments(text: str, tokens) -> list:
@@ -154,7 +163,7 @@ def segments(text: str, tokens) -> list:
         for j in range(i, min(len(tokens), i + MAX_TOKENS)):
             b = tokens[j][1]
             span = text[a:b]
-            if "\n" in span or b - a > 64:
+            if "\n" in span or b - a > SPAN_CHARS:
                 break
             if span[-1].isalnum() and b - a >= 6 and (sum(c in "0123456789" for c in span) >= 4 or "@" in span or re.search(r"\bat\b.*\bdot\b", span.lower())):
                 out.append((i, j))
@@ -175,27 +184,28 @@ class SemiCRF:
         """Best segmentation of each window: (kind, start, end)."""
         found = []
         for tokens in windows(text):
-            cells = segments(text, tokens)
-            if not cells:
-                continue
-            _, s = self.scores(text, tokens, cells)
-            best, back = np.full(len(tokens) + 1, -np.inf), [None] * (len(tokens) + 1)
-            best[0] = 0.0
-            ending = {}
-            for c, (i, j) in enumerate(cells):
-                ending.setdefault(j + 1, []).append((c, i))
-            for t in range(1, len(tokens) + 1):
-                best[t] = best[t - 1]
-                for c, i in ending.get(t, ()):
-                    k = int(s[c].argmax())
-                    if best[i] + s[c, k] > best[t]:
-                        best[t], back[t] = best[i] + s[c, k], (i, k, c)
+            best, back = [0.0] + [-np.inf] * len(tokens), {}
+            for at in range(0, len(tokens), START_BLOCK):
+                near = segments(text, tokens[at : at + START_BLOCK + MAX_TOKENS - 1])
+                cells = [(at + i, at + j) for i, j in near if i < START_BLOCK]
+                starting = {}
+                if cells:
+                    _, s = self.scores(text, tokens, cells)
+                    for (i, j), k, score in zip(cells, s.argmax(1).tolist(), s.max(1).tolist()):
+                        starting.setdefault(i, []).append((j, k, score))
+                for t in range(at, min(at + START_BLOCK, len(tokens))):
+                    if best[t] >= best[t + 1]:
+                        best[t + 1] = best[t]
+                        back.pop(t + 1, None)
+                    for j, k, score in starting.get(t, ()):
+                        if best[t] + score > best[j + 1]:
+                            best[j + 1], back[j + 1] = best[t] + score, (t, k, score)
             t = len(tokens)
             while t > 0:
-                if back[t]:
-                    i, k, c = back[t]
-                    if s[c, k] >= margin:
-                        found.append((k, tokens[i][0], tokens[cells[c][1]][1]))
+                if t in back:
+                    i, k, score = back[t]
+                    if score >= margin:
+                        found.append((k, tokens[i][0], tokens[t - 1][1]))
                     t = i
                 else:
                     t -= 1

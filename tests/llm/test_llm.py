@@ -229,6 +229,27 @@ def test_crf_adds_missed_forms(spark):
     assert got == {1: [("phone", 17, 31)], 2: [("email", 5, 32)], 3: [], 4: []}
 
 
+@pytest.mark.parametrize("end", [" ", "\n"])
+def test_windows_cut_no_candidate(end):
+    """Dense text, in one line and in many: the windows have every candidate of the whole text, and what is found
+    doesn't depend on where in the text it stands."""
+    draw = np.random.default_rng(2)
+    forms = ["(212) 555-0147", "jane.roe at example dot org", "id 48fa33c0912e", "10.0.0.17", "row 12", "some words without any digit that go on for longer than a span does, " * 2]
+    text = end.join(forms[i] for i in draw.integers(0, len(forms), 900))
+    tokens = [m.span() for m in pii.TOKEN.finditer(text)]
+    whole = {(tokens[i][0], tokens[j][1]) for i, j in pii.segments(text, tokens)}
+    assert {(w[i][0], w[j][1]) for w in pii.windows(text) for i, j in pii.segments(text, w)} == whole
+    model = pii.SemiCRF(draw.normal(0, 1, (len(pii.KINDS), len(pii.NAMES))))
+    _, s = model.scores(text, tokens, cells := pii.segments(text, tokens))
+    best, ending = [0.0], {}
+    for c, (i, j) in enumerate(cells):
+        ending.setdefault(j + 1, []).append((c, i))
+    for t in range(1, len(tokens) + 1):
+        best.append(max([best[t - 1], *[best[i] + s[c].max() for c, i in ending.get(t, ())]]))
+    score = {(k, tokens[i][0], tokens[j][1]): s[c, k] for c, (i, j) in enumerate(cells) for k in range(len(pii.KINDS))}
+    assert math.isclose(sum(score[x] for x in model.decode(text, -math.inf)), best[-1])
+
+
 def test_crf_gradient_is_that_of_the_likelihood():
     text, cells = "call 212 555 0147 now", None
     tokens = next(iter(pii.windows(text)))
