@@ -194,11 +194,22 @@ def skeleton_keys(spark, d):
 
 
 @query()
-def name_only_search(spark, d):
-    """Candidates by name alone, skeletons included."""
-    e = B.name_only(names(spark, d)).dropDuplicates(["country", "name_core"])
-    keys = B.blocking_keys(e, "npqk")
-    return B.sparse_search(keys, *B.build_index(keys, e.count()), k=5, skip_self=True)
+def name_only_search(spark, d, k=30):
+    """Candidates by name alone, skeletons included. Distinct names are searched, each weighed once, and every entity
+    of a name stands on both sides: its best k entities, name twins among them."""
+    e = B.name_only(names(spark, d)).withColumn("name_id", F.min("entity_id").over(W.partitionBy("country", "name_core")))
+    one = e.where("entity_id = name_id")
+    keys = B.blocking_keys(one, "npqk")
+    near = B.sparse_search(keys, *B.build_index(keys, one.count()), k=None).drop("sparse_rank")
+    # names that k entities or more outdo, the searching one not counted, can give none of the best k
+    sizes = e.groupBy(F.col("name_id").alias("s1")).agg(F.count(F.lit(1)).alias("n"))
+    better = F.sum("n").over(W.partitionBy("rec").orderBy(F.desc("sparse_score"))) - F.sum("n").over(W.partitionBy("rec", "sparse_score"))
+    near = near.join(sizes, "s1").withColumn("better", better).where(F.col("better") <= k)
+    recs = e.select(F.col("name_id").alias("rec"), F.col("entity_id").alias("q"))
+    place = F.row_number().over(W.partitionBy("name_id").orderBy("entity_id"))
+    found = e.select(F.col("name_id").alias("s1"), F.col("entity_id").alias("x"), place.alias("place")).where(F.col("place") <= k + 1)
+    pairs = near.join(found, "s1").join(recs, "rec").where("q <> x")
+    return B.top(pairs.select(F.col("q").alias("rec"), F.col("x").alias("s1"), "sparse_score"), "rec", "sparse_score", "s1", k, "sparse_rank")
 
 
 # ------------------------------------------------------------------ features
