@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ARROW_ROWS = 1000  # rows in an Arrow batch: long texts stay within a worker's memory
+ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20  # rows and bytes of an Arrow batch: long texts stay within a worker's memory
 
 
 def ship(module: str) -> None:
@@ -25,17 +25,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tune(spark: SparkSession) -> None:
-    """Smaller Arrow batches (a session setting); never larger ones than the session has."""
+    """Smaller Arrow batches, by rows and by bytes (session settings); never larger ones than the session has. A batch
+    ends with the row that passes the bound, so that it holds one text more than ARROW_BYTES at most."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
 def arrow_column(kind: str):
-    """Decorator: a function over Arrow arrays as one over columns; the UDF is made when there is a session."""
+    """Decorator: a function over Arrow arrays as one over columns; the UDF is made when there is a session. It is called
+    nondeterministic so that Spark doesn't compute it a second time for a filter on its result."""
 
     def wrap(function):
-        return lambda *columns: F.arrow_udf(function, kind)(*columns)
+        return lambda *columns: F.arrow_udf(function, kind).asNondeterministic()(*columns)
 
     return wrap
 
@@ -51,8 +54,10 @@ def id_remainder(modulus: int, column: str = "doc_id"):
 
 
 def hash_sample(df: DataFrame, key, most: int) -> DataFrame:
-    """At most `most` rows, those of the smallest hashes. Rows are thinned by hash first, to about one and a half
-    times as many, so that what tasks pass on for the final sort stays small however many tasks there are."""
+    """At most `most` rows, of different keys, those of the smallest hashes: however many copies a key has, it counts
+    once. Rows are thinned by hash first, to about one and a half times as many, so that what tasks pass on for the
+    final sort stays small however many tasks there are."""
+    df = df.dropDuplicates([key])
     h = F.xxhash64(key)
     n = df.count()
     if n > 2 * most:
@@ -61,10 +66,12 @@ def hash_sample(df: DataFrame, key, most: int) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a temporary one only where none is set."""
+    """The shared folder that the cluster names; a temporary one only where none is set and all runs on this machine."""
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not jsc.isLocal():
+            raise ValueError("spark.checkpoint.dir isn't set: name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="kindred-checkpoint-"))
     return jsc.getCheckpointDir().get()
 

@@ -1,14 +1,19 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Candidates are values that look like credentials. The corpus is asked how many distinct repositories and
-owners each value has: values that several owners hold are widely copied examples, a value of few owners
-is taken for live. Beyond the base patterns, provider tokens are reported only when they look live.
+owners each value has. Most values have one owner, some have a few by chance; the share with one owner gives
+the Poisson rate of chance owners, and a value with so many owners that chance gives less than CHANCE such
+values in the whole corpus is a widely copied example. All others are taken for live. Beyond the base
+patterns, provider tokens are reported only when they look live.
 
 Defined results: a null or empty text has no spans. A null repository or owner counts as one value of its
-own. Repeated rows count once per repository; other columns pass through untouched.
+own. Repeated rows count once per repository; a value as often owned as the limit is an example. Texts are
+searched whole, whatever their length. Without candidates there is nothing to judge. Other columns pass
+through untouched, whatever their names.
 """
 
 import hashlib
+import math
 import re
 
 import pyarrow as pa
@@ -33,7 +38,8 @@ PROVIDERS = [
 ]
 KINDS = ["assign", "access", "hex", "provider", "jwt", "pem"]
 BASE = 3
-EXAMPLE_OWNERS = 5  # a value of so many distinct owners is a widely copied example
+LEAST_OWNERS = 3  # no value of fewer distinct owners is a widely copied example
+CHANCE = 0.01  # expected number of values that reach the limit by chance
 SPAN = "struct<kind:int,first:int,last:int,digest:string>"
 MASK = "[SECRET]"
 
@@ -86,22 +92,43 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return step.groupBy("digest").agg(F.count_distinct("repo").alias("repositories"), F.count_distinct("owner").alias("owners"), F.sum("n").alias("occurrences"))
 
 
+def owner_limit(values: int, single: int, chance=CHANCE) -> int:
+    """Owners from which a value is a widely copied example, where `single` of `values` values have one owner: the
+    number of owners beside the first is Poisson by chance, and fewer than `chance` values are to reach the limit."""
+    rate = -math.log(max(single, 0.5) / max(values, 1)) if values else 0.0
+    k, term, below = 0, math.exp(-rate), 0.0  # below: P(fewer than k further owners)
+    while values * (1 - below) > chance and k < 1000:
+        below += term
+        k += 1
+        term *= rate / k
+    return max(LEAST_OWNERS, k + 1)
+
+
 class SecretScan:
-    """Finds spans, aggregates ownership over the whole input and judges every span."""
+    """Finds spans, aggregates ownership over the whole input and judges every span. `example_owners` fixes the limit
+    that is otherwise taken from the distribution."""
 
-    def __init__(self, repo_col="source", owner_col="source", example_owners=EXAMPLE_OWNERS):
+    def __init__(self, repo_col="source", owner_col="source", example_owners=None):
         self.repo_col, self.owner_col, self.example_owners = repo_col, owner_col, example_owners
 
+    def limit(self, counts: DataFrame) -> int:
+        if self.example_owners:
+            return self.example_owners
+        return owner_limit(*counts.agg(F.count(F.lit(1)), F.count_if(F.col("owners") == 1)).first())
+
+    def owned(self, df: DataFrame) -> list:
+        """Columns repo and owner; null is a value of its own."""
+        return [F.coalesce(F.col(c).cast("string"), F.lit("\0null")).alias(n) for c, n in ((self.repo_col, "repo"), (self.owner_col, "owner"))]
+
     def scan(self, docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
         """row, doc_id, spans: array of kind, first, last, digest, repositories, owners, live."""
         scratch = Scratch(docs.sparkSession, "secrets")
-        nothing = F.lit("\0null")
-        rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(self.repo_col).cast("string"), nothing).alias("repo"), F.coalesce(F.col(self.owner_col).cast("string"), nothing).alias("owner"), find_spans(utf8(text_col)).alias("spans"))
+        rows = docs.select(F.col(id_col).alias("doc_id"), *self.owned(docs), find_spans(utf8(text_col)).alias("spans"))
         rows = scratch.save(rows.withColumn("row", F.monotonically_increasing_id()), "spans")
         each = rows.where(F.size("spans") > 0).select("row", "repo", "owner", F.explode("spans").alias("s")).select("row", "repo", "owner", "s.*")
         # a table of its own: then both sides of the join are plain scans, and Spark can split a hot value
         counts = scratch.save(ownership(each.select("digest", "repo", "owner")), "ownership")
-        live = (F.col("owners") < self.example_owners).alias("live")
+        live = (F.col("owners") < self.limit(counts)).alias("live")
         judged = each.select("row", "kind", "first", "last", "digest").join(counts, "digest")
         spans = judged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("first", "kind", "last", "digest", "repositories", "owners", live))).alias("spans"))
         kind = spans.schema["spans"].dataType.simpleString()
@@ -127,11 +154,11 @@ def mask_live(docs: DataFrame, **options) -> DataFrame:
     scan = SecretScan(**options)
     scratch = Scratch(docs.sparkSession, "mask")
     base = docs.withColumn("__kindred_s", find_spans(utf8("text")))
-    each = base.where(F.size("__kindred_s") > 0).select(F.coalesce(F.col(scan.repo_col).cast("string"), F.lit("\0null")).alias("repo"), F.coalesce(F.col(scan.owner_col).cast("string"), F.lit("\0null")).alias("owner"), F.explode("__kindred_s").alias("s"))
-    counts = scratch.save(ownership(each.select("s.digest", "repo", "owner")), "ownership")
-    examples = counts.where(F.col("owners") >= scan.example_owners).select("digest")
     # only rows with candidates travel; the texts of all others stay where they are
     hit = scratch.save(base.where(F.size("__kindred_s") > 0).withColumn("__kindred_row", F.monotonically_increasing_id()), "hit")
+    each = hit.select(*scan.owned(hit), F.explode("__kindred_s").alias("s"))
+    counts = scratch.save(ownership(each.select("s.digest", "repo", "owner")), "ownership")
+    examples = counts.where(F.col("owners") >= scan.limit(counts)).select("digest")
     spans = hit.select("__kindred_row", F.explode("__kindred_s").alias("s")).select("__kindred_row", "s.*")
     spans = spans.join(examples.withColumn("known", F.lit(True)), "digest", "left").where(F.col("known").isNull())
     spans = spans.groupBy("__kindred_row").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("__kindred_live"))
