@@ -5,7 +5,9 @@ all documents and one over trusted ones. A document's score is the mean log rati
 is kept when the score reaches the threshold.
 
 Defined results: a null or empty text has no words, score 0, and fails the base rules. With no trusted
-rows all ratios are 0, so only the base rules reject. Repeated rows are judged each for themselves.
+rows all ratios are 0, so only the base rules reject. A score equal to the threshold keeps. Repeated rows
+are judged each for themselves, and each counts where its id is trusted. A text of any length is judged
+whole. Other columns of the input are ignored; `keep_documents` passes them on, whatever their names.
 """
 
 import re
@@ -17,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample, ship, tune, utf8
+from .common import ship, tune, utf8
 
 ship(__name__)
 
 BUCKETS = 1 << 16
 THRESHOLD = -0.25  # mean natural-log ratio per n-gram
-TRUSTED = 200_000  # most labelled rows that the trusted multinomial is fitted on
+BROADCAST_IDS = 200_000  # trusted ids up to which they are broadcast; more meet the documents in a shuffled join
 SMOOTH = 1.0
 CACHED = 300_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -71,16 +73,16 @@ def base_rules(text: bytes):
 class RatioRule:
     """Fits the two multinomials, then judges texts one by one."""
 
-    def __init__(self, threshold=THRESHOLD, trusted=TRUSTED):
-        self.threshold, self.trusted = threshold, trusted
+    def __init__(self, threshold=THRESHOLD, broadcast_ids=BROADCAST_IDS):
+        self.threshold, self.broadcast_ids = threshold, broadcast_ids
 
     def fit(self, docs: DataFrame, labels: DataFrame) -> "RatioRule":
         tune(docs.sparkSession)
         good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("good_id")).distinct()
-        if good.count() > self.trusted:  # the same rows in every run, so that verdicts repeat
-            good = hash_sample(good, "good_id", self.trusted)
+        if good.count() <= self.broadcast_ids:
+            good = F.broadcast(good)
         rows = docs.select(utf8("text").alias("text"), F.col("doc_id").alias("own_id"))
-        rows = rows.join(F.broadcast(good), rows.own_id == good.good_id, "left").select("text", F.col("good_id").isNotNull())
+        rows = rows.join(good, F.col("own_id") == F.col("good_id"), "left").select("text", F.col("good_id").isNotNull())
 
         def count(batches):
             hashes, sums = Hashes(), np.zeros((2, BUCKETS), np.int64)
