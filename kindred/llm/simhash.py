@@ -177,7 +177,7 @@ def link_fingerprints(prints: DataFrame, scratch: Scratch, most=LIST_ROWS) -> Da
     second = joined.mapInArrow(compare_lists(most, False), EDGE)
     second = scratch.save(second, "borders")
     exact = first.where("kind = 2").select("a").unionByName(pieces.where("long").select("a")).unionByName(second.where("kind = 2").select("a")).distinct()
-    around = exact.mapInArrow(_post_around, "a long, v long")
+    around = scratch.save(exact.mapInArrow(_post_around, "a long, v long"), "around")  # read twice below
     least = around.groupBy("v").agg(F.min("a").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("v", "b")
     stars = around.join(least, "v").where("a <> b").select("a", "b").distinct()
     edges = first.where("kind = 0").select("a", "b").unionByName(second.where("kind = 0").select("a", "b")).unionByName(stars)
