@@ -7,8 +7,10 @@ conditional log-likelihood, on a bounded sample of texts whose base spans are th
 of those spans that the patterns miss, and on fixed examples. Segments it finds beside base spans are
 added.
 
-Defined results: a null or empty text has no spans. Spans are in code points, end exclusive. Repeated
-rows are searched each for themselves; other columns are ignored.
+Defined results: a null or empty text has no spans. Spans are in code points, end exclusive. Of two
+segmentations of equal score the one with fewer spans is taken. Texts are searched whole, whatever their
+length. Repeated rows are searched each for themselves, and count once in the sample; other columns are
+ignored, whatever their names.
 """
 
 import re
@@ -211,8 +213,8 @@ class SemiCRF:
                     t -= 1
         return found
 
-    def fit(self, examples, epochs=EPOCHS):
-        """examples: (text, [(kind, start, end)]). Ascent on the conditional log-likelihood of all segmentations."""
+    def prepare(self, examples) -> list:
+        """(tokens, cells, features, gold) of every window; gold marks the kind of the cells that are labelled spans."""
         data = []
         for text, gold in examples:
             for tokens in windows(text):
@@ -225,25 +227,36 @@ class SemiCRF:
                     if (a, b) in at:
                         y[at[a, b], k] = 1
                 x = np.stack([features(text, tokens[i][0], tokens[j][1]) for i, j in cells])
-                data.append((len(tokens), cells, x, x.T @ y))
+                data.append((len(tokens), cells, x, y))
+        return data
+
+    def likelihood(self, data):
+        """(log-likelihood of the labelled segmentations among all, its gradient), by sums forwards and backwards."""
+        whole, gradient = 0.0, np.zeros_like(self.weights)
+        for n, cells, x, gold in data:
+            s = x @ self.weights.T
+            total = np.logaddexp.reduce(s, axis=1)
+            fwd, bwd = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
+            fwd[0] = bwd[n] = 0.0
+            into, out = [[] for _ in range(n + 1)], [[] for _ in range(n + 1)]
+            for c, (i, j) in enumerate(cells):
+                into[j + 1].append(c)
+                out[i].append(c)
+            for t in range(1, n + 1):
+                fwd[t] = np.logaddexp.reduce([fwd[t - 1], *[fwd[cells[c][0]] + total[c] for c in into[t]]])
+            for t in range(n - 1, -1, -1):
+                bwd[t] = np.logaddexp.reduce([bwd[t + 1], *[bwd[cells[c][1] + 1] + total[c] for c in out[t]]])
+            span = np.array([fwd[i] + bwd[j + 1] for i, j in cells]) - fwd[n]
+            whole += (gold * s).sum() - fwd[n]
+            gradient += (x.T @ (gold - np.exp(span[:, None] + s))).T
+        return whole, gradient
+
+    def fit(self, examples, epochs=EPOCHS):
+        """examples: (text, [(kind, start, end)]). Ascent on the conditional log-likelihood of all segmentations."""
+        data = self.prepare(examples)
         grads = np.zeros_like(self.weights)
         for _ in range(epochs if data else 0):
-            step = -DECAY * self.weights * len(data)
-            for n, cells, x, gold in data:
-                s = x @ self.weights.T
-                total = np.logaddexp.reduce(s, axis=1)
-                fwd, bwd = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
-                fwd[0] = bwd[n] = 0.0
-                into, out = [[] for _ in range(n + 1)], [[] for _ in range(n + 1)]
-                for c, (i, j) in enumerate(cells):
-                    into[j + 1].append(c)
-                    out[i].append(c)
-                for t in range(1, n + 1):
-                    fwd[t] = np.logaddexp.reduce([fwd[t - 1], *[fwd[cells[c][0]] + total[c] for c in into[t]]])
-                for t in range(n - 1, -1, -1):
-                    bwd[t] = np.logaddexp.reduce([bwd[t + 1], *[bwd[cells[c][1] + 1] + total[c] for c in out[t]]])
-                span = np.array([fwd[i] + bwd[j + 1] for i, j in cells]) - fwd[n]
-                step += (gold - x.T @ np.exp(span[:, None] + s)).T
+            step = self.likelihood(data)[1] - DECAY * self.weights * len(data)
             grads += step**2
             self.weights = self.weights + RATE * step / np.sqrt(grads + 1e-8)
         return self
@@ -296,7 +309,7 @@ class PiiScan:
                 rows.append([{"kind": k, "first": a, "last": b, "base": is_base} for a, k, b, is_base in both])
             return pa.array(rows, pa.list_(pa.struct([("kind", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("base", pa.bool_())])))
 
-        return find(utf8(text_col))
+        return find.asNondeterministic()(utf8(text_col))  # so that a filter on the spans doesn't find them a second time
 
 
 def scan_pii(docs: DataFrame, id_col="doc_id", text_col="text", **options) -> DataFrame:
