@@ -231,9 +231,10 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", most=LIST
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """docs with one row of each component: that of the smallest id."""
+    """docs with one row of each component: that of the smallest id, the first of them where it repeats, and one of a
+    null id only where all ids are null. All columns are passed on, whatever their names."""
     scratch = Scratch(docs.sparkSession, "dedup")
     numbered = scratch.save(docs.withColumn("__kindred_row", F.monotonically_increasing_id()), "docs")
-    found = near_duplicates(numbered.withColumn("__kindred_id", F.struct("doc_id", "__kindred_row")), id_col="__kindred_id")
+    found = near_duplicates(numbered.withColumn("__kindred_id", F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "__kindred_row")), id_col="__kindred_id")
     dropped = scratch.save(found.where("row <> least_row").select(F.col("doc_id.__kindred_row").alias("__kindred_row")), "dropped")
     return numbered.join(dropped, "__kindred_row", "left_anti").select(docs.columns)

@@ -127,6 +127,29 @@ def test_quality_base(spark, texts):
         assert not (r["kept"] and failed)
 
 
+def test_quality_ratio(spark, texts):
+    """llr and kept from two plain counts over all documents and the trusted ones."""
+    good = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
+
+    def grams(text):
+        one = [zlib.crc32(t.encode()) for t in quality.TOKEN.findall((text or "").lower())]
+        two = [((a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F) % 2**64) >> 32 for a, b in zip(one, one[1:])]
+        return [g % quality.BUCKETS for g in one + two]
+
+    raw, trusted = Counter(), Counter()
+    for i, t in texts.items():
+        raw.update(grams(t))
+        if i in good:
+            trusted.update(grams(t))
+    n, m = sum(raw.values()) + quality.BUCKETS, sum(trusted.values()) + quality.BUCKETS
+    assert good and m > quality.BUCKETS
+    for r in queries.op2_quality_rules(spark, SF).collect():
+        g = grams(texts[r["doc_id"]])
+        want = sum(math.log((trusted[x] + 1) / m) - math.log((raw[x] + 1) / n) for x in g) / max(len(g), 1)
+        assert math.isclose(r["llr"], want, abs_tol=1e-9)
+        assert r["kept"] == (not r["base_failed"] and r["llr"] >= quality.THRESHOLD)
+
+
 def test_quality_separates_labels(spark):
     sf = "/root/testdata/sf0.01"
     marks = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
@@ -147,20 +170,26 @@ def test_quality_odd(odd, none, labels, no_labels):
 
 
 def test_warc(spark, tmp_path):
-    rows = [(1, "http://a", "x"), (2, "http://b", "x"), (3, None, None), (7, "http://c\r\nd", ""), (None, "http://e", "x"), (5, "u", "WARC-Type: no\r\n\r\nçé" * 300), (5, "u", "WARC-Type: no\r\n\r\nçé" * 300)]
+    rows = [(1, "http://a", "x"), (2, "http://b", "x"), (3, None, None), (7, "http://c\r\nd", ""), (None, "http://e", "x"), (None, None, "alone"), (5, "u", "WARC-Type: no\r\n\r\nçé" * 300), (5, "u", "WARC-Type: no\r\n\r\nçé" * 300)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("header", F.lit("clash"))
     path = str(tmp_path / "archive")
     warc.write_archive(pages, path)
     archive = warc.read_archive(spark, path)
-    long = rows[5][2].encode()
+    long = rows[6][2].encode()
     import base64
 
     for r in archive.collect():
         payload = bytes(r["payload"])
         assert r["payload_digest"] == base64.b32encode(hashlib.sha1(payload).digest()).decode() and r["payload_bytes"] == len(payload)
     types = sorted((r["record_id"] or "", r["record_type"]) for r in archive.collect())
-    assert types == [("", "revisit"), ("1", "revisit"), ("2", "response"), ("3", "revisit"), ("5", "response"), ("5", "response"), ("7", "response")]
-    assert spark.read.parquet(f"{path}/payloads").count() == 3
+    heads = [dict(x.split(": ", 1) for x in r["header"].split("\r\n")[1:-1]) for r in archive.collect()]
+    ids = {h["WARC-Record-ID"] for h in heads}
+    assert len(ids) == len(rows) and all(h.get("WARC-Refers-To", h["WARC-Record-ID"]) in ids for h in heads)
+    assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", h["WARC-Date"]) for h in heads)
+    assert types == [("", "response"), ("", "revisit"), ("1", "revisit"), ("2", "response"), ("3", "revisit"), ("5", "response"), ("5", "response"), ("7", "response")]
+    assert spark.read.parquet(f"{path}/payloads").count() == 4
+    rows_of = lambda df: sorted(bytes(r["record"]) for r in df.collect())
+    assert rows_of(warc.rebuilt(spark, path)) == sorted(r["header"].encode() + b"\r\n" + bytes(r["payload"]) for r in archive.collect())
     warc.export_warc(archive, str(tmp_path / "warc"), compression="none")
     raw = b"".join(p.read_bytes() for p in sorted((tmp_path / "warc").glob("part-*")))
     records, at = [], 0
@@ -170,7 +199,7 @@ def test_warc(spark, tmp_path):
         records.append(raw[end : end + length])
         assert raw[end + length : end + length + 4] == b"\r\n\r\n"
         at = end + length + 4
-    assert sorted(records) == sorted([b"x", b"", b"", b"", b"", long, long])
+    assert sorted(records) == sorted([b"x", b"", b"", b"", b"", b"alone", long, long])
     warc.write_archive(pages, str(tmp_path / "b"), min_bytes=2)
     assert warc.read_archive(spark, str(tmp_path / "b")).where("record_type = 'revisit'").count() == 0
     warc.write_archive(pages.limit(0), str(tmp_path / "c"))
@@ -250,30 +279,59 @@ def test_windows_cut_no_candidate(end):
     assert math.isclose(sum(score[x] for x in model.decode(text, -math.inf)), best[-1])
 
 
-def test_crf_gradient_is_that_of_the_likelihood():
-    text, cells = "call 212 555 0147 now", None
-    tokens = next(iter(pii.windows(text)))
-    cells = pii.segments(text, tokens)
-    model = pii.SemiCRF(np.random.default_rng(3).normal(0, 0.1, (len(pii.KINDS), len(pii.NAMES))))
-    _, s = model.scores(text, tokens, cells)
+def segmentations(tokens, cells):
+    """All segmentations: lists of (cell, kind)."""
 
     def paths(t):
         if t == len(tokens):
-            yield 0.0
+            yield []
             return
-        for rest in paths(t + 1):
-            yield rest
+        yield from paths(t + 1)
         for c, (i, j) in enumerate(cells):
             if i == t:
-                for k in range(len(pii.KINDS)):
-                    for rest in paths(j + 1):
-                        yield s[c, k] + rest
+                for rest in paths(j + 1):
+                    for k in range(len(pii.KINDS)):
+                        yield [(c, k), *rest]
+
+    return list(paths(0))
 
-    total = np.full(len(tokens) + 1, -np.inf)
-    total[0] = 0
-    for t in range(1, len(tokens) + 1):
-        total[t] = np.logaddexp.reduce([total[t - 1], *[total[i] + np.logaddexp.reduce(s[c]) for c, (i, j) in enumerate(cells) if j + 1 == t]])
-    assert math.isclose(total[-1], np.logaddexp.reduce(list(paths(0))))
+
+@pytest.mark.parametrize("text, gold", [("call 212 555 0147 now", [(3, 5, 17)]), ("at 10.0.0.17 or a@b.org", [(1, 3, 12)]), ("sum 3 400 000", [])])
+def test_crf_against_enumeration(text, gold):
+    """The likelihood and its gradient are those of all segmentations, and decoding finds the best of them."""
+    draw = np.random.default_rng(3)
+    model = pii.SemiCRF(draw.normal(0, 0.3, (len(pii.KINDS), len(pii.NAMES))))
+    data = model.prepare([(text, gold)])
+    (tokens,) = list(pii.windows(text))
+    cells = pii.segments(text, tokens)
+    every = segmentations(tokens, cells)
+
+    def scores(weights):
+        s = np.stack([pii.features(text, tokens[i][0], tokens[j][1]) for i, j in cells]) @ weights.T
+        return [sum(s[c, k] for c, k in path) for path in every]
+
+    mine = {(k, a, b) for k, a, b in gold}
+    told = [{(k, tokens[cells[c][0]][0], tokens[cells[c][1]][1]) for c, k in path} for path in every]
+    want = lambda weights: (x := scores(weights))[told.index(mine)] - np.logaddexp.reduce(x)
+    whole, gradient = model.likelihood(data)
+    assert math.isclose(whole, want(model.weights), rel_tol=1e-9)
+    for k, f in zip(draw.integers(0, len(pii.KINDS), 40), draw.integers(0, len(pii.NAMES), 40)):
+        e = np.zeros_like(model.weights)
+        e[k, f] = 1e-5
+        assert math.isclose(gradient[k, f], (want(model.weights + e) - want(model.weights - e)) / 2e-5, abs_tol=1e-6)
+    best = told[int(np.argmax(scores(model.weights)))]
+    assert set(model.decode(text, -math.inf)) == best
+    fitted = pii.SemiCRF().fit([(text, gold)], epochs=30)
+    assert fitted.likelihood(data)[0] > pii.SemiCRF().likelihood(data)[0]
+
+
+def test_owner_limit():
+    """Fewer than one in a hundred corpora has a value of so many owners by chance; both classes occur."""
+    assert secrets.owner_limit(0, 0) == secrets.owner_limit(100, 100) == secrets.LEAST_OWNERS
+    for values, single in ((131, 121), (10_000, 9_000), (50, 10), (5, 0)):
+        limit, rate = secrets.owner_limit(values, single), -math.log(max(single, 0.5) / values)
+        tail = lambda k: 1 - sum(math.exp(-rate) * rate**i / math.factorial(i) for i in range(k))  # noqa: E731, B023
+        assert values * tail(limit - 1) <= secrets.CHANCE and (limit == secrets.LEAST_OWNERS or values * tail(limit - 2) > secrets.CHANCE)
 
 
 def test_secret_ownership(spark):
@@ -308,6 +366,67 @@ def test_licenses(spark, odd, none):
     assert licenses.scan_licenses(odd).count() == 7 and licenses.scan_licenses(none).count() == 0
 
 
+MIT_FILE = """MIT License
+
+Copyright (c) 2020-2024 Jane Roe <jane@example.org>
+Copyright (c) 2021 Others
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+ISC_FILE = """ISC License
+
+Copyright 2019, Jane Roe
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF
+OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+
+
+def test_published_licence_files(spark):
+    """Files as they are published: by their own text here, and those that this machine has."""
+    from pathlib import Path
+
+    want = {MIT_FILE: "MIT", ISC_FILE: "ISC", "# " + MIT_FILE.replace("\n", "\n# "): "MIT", ISC_FILE.replace("ISC License\n\n", ""): "ISC", ISC_FILE.replace("THE AUTHOR DISCLAIMS", "JANE ROE DISCLAIMS"): "ISC"}
+    here = {"Apache-2.0": "Apache-2.0", "BSD": "BSD-3-Clause", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    want |= {p.read_text(): n for f, n in here.items() if (p := Path("/usr/share/common-licenses") / f).exists()}
+    want |= {MIT_FILE.replace("sell\n", "lend\n"): None, "a story\n" + ISC_FILE: None}
+    rows = list(enumerate(want))
+    got = {r["doc_id"]: r["licence"] for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: want[t] for i, t in rows}
+
+
+def test_wrapped_notice(spark):
+    rows = [(1, "A tool.\n\nLicensed under the Apache\n  License, Version 2.0.\n\nMore."), (2, "Licensed under the Apache License,\nVersion 2.0."), (3, "Licensed under the Apache\n\nLicense, Version 2.0.")]
+    got = {r["doc_id"]: (r["licence"], r["n_lines"], r["line_licences"]) for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    name = "Apache-2.0-notice"
+    assert got == {1: (None, 1, name), 2: (name, 1, name), 3: (name, 0, "")}
+
+
 def test_sql_of_native_queries(spark):
     import duckdb
 
@@ -437,14 +556,53 @@ def test_toxicity_counterfactual(spark):
 
 def test_bounded_fits_repeat(spark):
     """More labelled rows than the bound: the same ones are taken however the labels are dealt."""
-    rows = [(i, f"the {'vile' if i % 4 == 0 else 'kind'} w{i % 37} here v{i % 11}", 1, int(i % 4 == 0)) for i in range(600)]
+    rows = [(i, f"the {'vile' if i % 4 == 0 else 'kind'} w{i % 37} here v{i % 11}", int(i % 3 == 0), int(i % 4 == 0)) for i in range(600)]
     every = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int")
     docs = every.select("doc_id", "text")
     one, many = every.repartition(1), every.repartition(7, "text")
     weights = [toxicity.ToxicityModel(sample=90).fit(docs, x).weights for x in (one, many)]
     assert weights[0] == weights[1] and weights[0]
-    ratios = [quality.RatioRule(trusted=90).fit(docs, x).ratios for x in (one, many)]
-    assert (ratios[0] == ratios[1]).all() and ratios[0].any()
+    ratios = [quality.RatioRule(broadcast_ids=n).fit(docs, x).ratios for x in (one, many) for n in (0, 10_000)]
+    assert ratios[0].any() and all((ratios[0] == r).all() for r in ratios)
+
+
+def test_toxicity_fit_is_the_least_loss():
+    """The slope is the numeric one, the fit's slope is zero, and slow descent comes no lower."""
+    draw = np.random.default_rng(6)
+    size, k = 12, 4
+    rows = [np.flatnonzero(draw.random(size) < 0.3) for _ in range(60)]
+    y = np.array([float(draw.random() < (0.8 if 5 in r else 0.2)) for r in rows])
+    sums = np.zeros(k * k + 1, np.int64)
+    dense = []
+    for a, b in ((0, 1), (1, 0), (2, 3), (0, 1)):
+        toxicity.add_swap(sums, np.array([a]), np.array([b]), k)
+        dense.append(np.eye(size + 1)[a] - np.eye(size + 1)[b])
+    assert sums[-1] == 4 and (sums[:-1].reshape(k, k) == sum(np.outer(d, d) for d in dense)[:k, :k]).all()
+    loss = toxicity.Loss(toxicity.Words(rows, size), y, sums[:-1].reshape(k, k).astype(float), 4)
+
+    def plain(w):
+        x = np.array([[*(i in r for i in range(size)), 1.0] for r in rows])
+        z = x @ w
+        return sum(np.log1p(np.exp(z)) - y * z) + 0.5 * toxicity.RIDGE * (w[:-1] @ w[:-1] + 1e-6 * w[-1] ** 2) + 0.5 * toxicity.FAIRNESS * len(rows) / 4 * sum((d @ w) ** 2 for d in dense)
+
+    w = draw.normal(0, 0.5, size + 1)
+    slope = loss.slope(w)[0]
+    numeric = [(plain(w + e) - plain(w - e)) / 2e-5 for e in np.eye(size + 1) * 1e-5]
+    assert math.isclose(loss.value(w), plain(w), rel_tol=1e-9) and np.allclose(slope, numeric, atol=1e-4)
+    weights, bias = toxicity.train(loss)
+    best = np.append(weights, bias)
+    assert np.abs(loss.slope(best)[0]).max() < 1e-3
+    slow = np.zeros(size + 1)
+    for _ in range(20_000):
+        slow -= 0.004 * loss.slope(slow)[0]
+    assert plain(best) <= plain(slow) + 1e-6 and np.allclose(best, slow, atol=1e-2)
+
+
+def test_swaps_of_sentences():
+    at = {w: i for i, w in enumerate(sorted(toxicity.SWAP))}
+    back = {i: w for w, i in at.items()}
+    got = [({back[i] for i in a}, {back[i] for i in b}) for a, b in toxicity.swaps_of("Women met MEN. Nobody else! The old jews left", at)]
+    assert got == [({"old", "jews"}, {"young", "hindus"})]  # in the first sentence both stand, before and after
 
 
 def test_toxicity_odd(odd, none, labels, no_labels):
@@ -590,6 +748,50 @@ def test_pieces_odd(spark, odd, none):
 # ------------------------------------------------------------------ the pipeline
 
 
+@pytest.fixture(scope="module")
+def odd_tables(spark, tmp_path_factory):
+    """All tables of the queries, with null ids, null and empty texts, ties, repeated rows and clashing columns; and empty ones."""
+    word = lambda n: " ".join(f"w{i % 97}x" for i in range(n))
+    rows = [(1, "", "en", None, 1), (2, None, None, "s", 2), (None, word(60), "en", "s", 3), (4, LONG, "en", "s", 4), (4, LONG, "en", "s", 4), (5, "é ▁x \t\n 日本", "fr", "s", 5), (6, word(60), "en", "t", 6), (7, "password: abcdefgh12 call +1 303 555 0198 now " + word(300), "en", "t", 7)]
+    clash = {c: F.lit("x") for c in ("row", "spans", "seed", "fp", "item", "n", "sha256")}
+    tables = {
+        "documents": spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns(clash),
+        "labels": spark.createDataFrame([(6, 1, 0), (4, 0, 1), (None, None, None), (6, 1, 0), (99, 1, 1)], "doc_id long, quality int, toxic int").withColumns(clash),
+        "benchmark": spark.createDataFrame([(1, word(60)), (None, None), (1, word(60)), (2, ""), (None, "w1x w2x")], "item_id long, text string").withColumns(clash),
+        "pages": spark.createDataFrame([(None, None, None), (1, "u", "x"), (2, "u", "x"), (2, "u", "x"), (None, "u", "x"), (3, "", "")], "page_id long, url string, html string").withColumns(clash),
+    }
+    base = tmp_path_factory.mktemp("odd")
+    for name, df in tables.items():
+        df.write.parquet(f"{base}/full/{name}.parquet")
+        df.limit(0).write.parquet(f"{base}/empty/{name}.parquet")
+    return str(base)
+
+
+@pytest.mark.parametrize("name", list(queries.QUERIES))
+def test_queries_on_odd_and_empty_tables(spark, odd_tables, name):
+    got = queries.QUERIES[name](spark, f"{odd_tables}/full").collect()
+    want = {"op3_warc_archive": 6, "op9_decontamination": 3}.get(name, 8)
+    assert len(got) == want, [r.asDict() for r in got]
+    assert queries.QUERIES[name](spark, f"{odd_tables}/empty").count() == 0
+
+
+def test_odd_pages(spark, odd_tables):
+    got = Counter((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in queries.op3_warc_archive(spark, f"{odd_tables}/full").collect())
+    assert got == {(None, 0, "revisit", 3): 1, (3, 0, "response", None): 1, (1, 1, "revisit", 2): 1, (2, 1, "response", None): 2, (None, 1, "revisit", 2): 1}
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, odd_tables):
+    """Stage by stage on the whole odd table, and the run on it and on empty tables."""
+    docs = spark.read.parquet(f"{odd_tables}/full/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, f"{odd_tables}/full")
+        assert name.startswith("SentencePiece") or out.columns == docs.columns
+        ids = sorted(r["doc_id"] or 0 for r in out.collect())
+        assert ids == {"SimHash near-dedup": [1, 4, 5, 6, 7], "benchmark decontamination": [1, 2, 4, 4, 5]}.get(name, ids if name == "quality rules" else [0, 1, 2, 4, 4, 5, 6, 7]), name
+    assert {r["doc_id"] for r in corpus_pipeline.run(spark, f"{odd_tables}/full").collect()} <= {4, 6, 7, None}
+    assert corpus_pipeline.run(spark, f"{odd_tables}/empty").count() == 0
+
+
 def test_pipeline(spark):
     final = corpus_pipeline.run(spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
