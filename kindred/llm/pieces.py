@@ -33,10 +33,11 @@ ship(__name__)
 SPACE = "▁"
 LATTICE_CHARS = 62  # boundaries of a chunk fit the bits of a long
 MOST_PIECES = 1_000_000  # pieces up to which the table is broadcast
-DICTIONARY = 1 << 18  # most frequent chunks that every task holds with their ids
+DICTIONARY = 1 << 17  # most frequent chunks that every task holds with their ids
 DICTIONARY_CHARS = 48
-FLUSH = 400_000  # distinct chunks that a counting task holds
-CACHED = 100_000  # rarer chunks that a task remembers
+FLUSH = 50_000  # distinct chunks that a counting task holds
+CACHED = 30_000  # rarer chunks that a task remembers
+ENCODED = 128  # texts whose ids a task holds at once
 
 
 class PieceModel:
@@ -60,6 +61,13 @@ class PieceModel:
         if byte_ids:
             self.surface.update((i, bytes([b])) for b, i in enumerate(byte_ids))
 
+    def __getstate__(self):
+        """What tasks need: a unigram model's scores travel with its rows, a BPE model's ranks are enough."""
+        kept = dict(self.__dict__)
+        if self.kind == "bpe":
+            kept |= {"rows": None, "table": None}
+        return kept
+
     @classmethod
     def load(cls, path: str) -> "PieceModel":
         from sentencepiece import SentencePieceProcessor
@@ -87,7 +95,7 @@ class PieceModel:
             return self.best_path(chunk)
         if len(chunk) > LATTICE_CHARS:
             return self.encode_long(chunk)
-        rank, never = self.ranks.get, len(self.rows)
+        rank, never = self.ranks.get, len(self.ids)
         parts = list(chunk)
         ranks = [rank(a + b, never) for a, b in zip(parts, parts[1:])]
         while ranks:
@@ -109,16 +117,16 @@ class PieceModel:
 
     def encode_long(self, chunk: str) -> list:
         """The same merges in n log n steps, for chunks of any length."""
-        table, n = self.table, len(chunk)
+        ranks, n = self.ranks, len(chunk)
         after, before, ends = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         heap = []
 
         def offer(i):
             j = after[i]
             if j < n:
-                found = table.get(chunk[i : ends[j]]) if ends[j] - i <= self.longest else None
-                if found:
-                    heapq.heappush(heap, (found[0], i, ends[j]))
+                found = ranks.get(chunk[i : ends[j]]) if ends[j] - i <= self.longest else None
+                if found is not None:
+                    heapq.heappush(heap, (found, i, ends[j]))
 
         for i in range(n - 1):
             offer(i)
@@ -137,8 +145,8 @@ class PieceModel:
                 offer(before[i])
         out, i = [], 0
         while i < n:
-            found = table.get(chunk[i : ends[i]])
-            out += [found[1]] if found else self.unknown(chunk[i])
+            found = self.ids.get(chunk[i : ends[i]])
+            out += [found] if found is not None else self.unknown(chunk[i])
             i = after[i]
         return out
 
@@ -237,12 +245,12 @@ def count_chunks(cut, dummy):
             return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["chunk", "n"])
 
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                if raw:
-                    counts.update(find((SPACE if dummy else "") + raw.decode("utf-8", "replace").replace(" ", SPACE)))
-            if len(counts) > FLUSH:
-                yield out()
-                counts.clear()
+            for raw in batch.column(0):
+                if raw.as_buffer():
+                    counts.update(find((SPACE if dummy else "") + raw.as_py().decode("utf-8", "replace").replace(" ", SPACE)))
+                if len(counts) > FLUSH:
+                    yield out()
+                    counts.clear()
         if counts:
             yield out()
 
@@ -295,8 +303,9 @@ def encode_batches(shared, model, id_type):
             ids = table.column("ids").combine_chunks()
             v["codes"] = Codes(table.column("chunk").to_pylist(), model)
             v["values"], v["lengths"] = ids.flatten().to_numpy().astype(np.int32), np.diff(ids.offsets.to_numpy()).astype(np.int64)
+            del table, ids
         codes = v["codes"]
-        for batch in batches:
+        for batch in (whole.slice(at, ENCODED) for whole in batches for at in range(0, whole.num_rows, ENCODED)):
             parts, sizes, sums = [], [], []
             for raw in batch.column(1).to_pylist():
                 text = raw.decode("utf-8", "replace")
