@@ -238,7 +238,9 @@ class WordHMM:
 
         kind = docs.schema["doc_id"].dataType.simpleString()
         rows = docs.select("doc_id", "held_out", "text").mapInArrow(encode, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_log double, within double, classes binary, rare array<binary>, rare_n array<long>")
-        return scratch.save(rows.withColumn("row", F.monotonically_increasing_id()), "sequences")
+        saved = scratch.save(rows.withColumn("row", F.monotonically_increasing_id()), "sequences")
+        shared.destroy()
+        return saved
 
     # ---- Baum-Welch
     def _train(self, encoded):
