@@ -58,11 +58,20 @@ def jaccard(a: Column, b: Column) -> Column:
     return ratio(F.size(F.array_intersect(a, b)), F.greatest(F.size(F.array_union(a, b)), F.lit(1)))
 
 
+def bare_consonants(c: Column) -> Column:
+    """Similar sounds as one letter, without vowels and signs."""
+    c = F.translate(F.replace(c, F.lit("ph"), F.lit("f")), "cqz", "kks")
+    return F.regexp_replace(F.regexp_replace(c, "[aeiouyhw]", ""), "[^a-z0-9 ]", "")
+
+
 def skeleton(c: Column) -> Column:
     """Consonant skeleton: similar sounds are one letter, vowels and doubled letters go."""
-    c = F.translate(F.replace(c, F.lit("ph"), F.lit("f")), "cqz", "kks")
-    c = F.regexp_replace(F.regexp_replace(c, "[aeiouyhw]", ""), "[^a-z0-9 ]", "")
-    return F.regexp_replace(c, r"([bdfgjklmnprstvx])\1+", "$1")
+    return F.regexp_replace(bare_consonants(c), r"([bdfgjklmnprstvx])\1+", "$1")
+
+
+def numeric_columns(df, besides=()) -> list:
+    """The columns of a table that a model can read, in their order, without `besides`."""
+    return [c for c, kind in df.dtypes if c not in besides and kind.split("(")[0] in ("int", "bigint", "smallint", "tinyint", "float", "double", "decimal", "boolean")]
 
 
 def cosine(a: Column, b: Column) -> Column:
