@@ -75,7 +75,8 @@ def word_keys(df: DataFrame, id_col: str, text_col: str, scope_col: str) -> Data
 
 
 def build_index(keys: DataFrame, n_entities: int, max_df: int = MAX_DF):
-    """(postings, norms). Keys of more than max_df entities are left out of the postings; they still count in the norms."""
+    """(postings, norms). Keys of more than max_df entities are left out of the postings; they still count in the norms.
+    Both come from one pass each over `keys`, so a caller whose keys are dear to make saves them first."""
     seen = keys.groupBy("country", "key").agg(F.count(F.lit(1)).alias("df"))
     weighed = keys.join(seen, ["country", "key"]).select(F.col("entity_id").alias("s1"), "country", "key", "df", (F.log(F.lit(float(n_entities))) - F.log("df")).alias("idf"))
     norms = weighed.groupBy("s1").agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm"))
@@ -84,7 +85,7 @@ def build_index(keys: DataFrame, n_entities: int, max_df: int = MAX_DF):
 
 def sparse_search(query_keys: DataFrame, postings: DataFrame, norms: DataFrame, k: int = 10, skip_self: bool = False) -> DataFrame:
     """(rec, s1, sparse_score, sparse_rank): shared squared IDF over the entity's norm."""
-    met = query_keys.select(F.col("entity_id").alias("rec"), "country", "key").join(postings, ["country", "key"])
+    met = query_keys.select(F.col("entity_id").alias("rec"), "country", "key").join(postings, ["country", "key"])  # an inner join: Spark may filter either side by the other's keys
     if skip_self:
         met = met.where("rec <> s1")
     pairs = met.groupBy("rec", "s1").agg(F.sum(F.col("idf") * F.col("idf")).alias("w")).join(norms, "s1")
@@ -94,16 +95,20 @@ def sparse_search(query_keys: DataFrame, postings: DataFrame, norms: DataFrame,
 
 def dense_search(queries: DataFrame, entities: DataFrame, k: int = 10, scope: str = "country", block: int = 1024, spread: int | None = None, skip_self: bool = False) -> DataFrame:
     """(rec, s1, dense_score, dense_rank): exact cosine top-k inside a scope; rows without a vector are in no pair.
-    Both sides are cut by hash into as many blocks of about BLOCK_ROWS as their counts need (or `spread`), so that a
-    task holds one block of each however large a scope is, and passes on its own best k of each query."""
-    n_queries, n_entities = (spread or max(1, -(-df.count() // BLOCK_ROWS)) for df in (queries, entities))
-
-    def blocks(df, own, n_own, other, n_other, side):
-        rows = df.where(F.col("embedding").isNotNull()).select(F.col("id"), F.col(scope).alias("scope"), F.col("embedding").alias("v"))
-        rows = rows.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n_own)).cast("int"))
-        return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))).withColumn("side", F.lit(side))
-
-    rows = blocks(queries, "qb", n_queries, "eb", n_entities, 0).unionByName(blocks(entities, "eb", n_entities, "qb", n_queries, 1))
+    Inside each scope both sides are cut by hash into as many blocks of about BLOCK_ROWS as the scope's own counts need
+    (or `spread`), so that a task holds one block of each however large a scope is, and passes on its own best k of each
+    query; a row of a small scope is sent once."""
+    known = lambda df: df.where(F.col("embedding").isNotNull()).select("id", F.col(scope).alias("scope"), F.col("embedding").alias("v"))
+    q, e = known(queries), known(entities)
+    parts = lambda df, name: df.groupBy("scope").agg((F.lit(spread) if spread else F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).cast("int").alias(name))
+    sizes = parts(q, "nq").join(parts(e, "ne"), "scope")
+
+    def blocks(rows, own, n_own, other, n_other, side):
+        rows = rows.join(sizes, "scope").withColumn(own, F.pmod(F.xxhash64("id"), F.col(n_own)).cast("int"))
+        rows = rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1))).withColumn("side", F.lit(side))
+        return rows.drop("nq", "ne")
+
+    rows = blocks(q, "qb", "nq", "eb", "ne", 0).unionByName(blocks(e, "eb", "ne", "qb", "nq", 1))
     kind = dict(queries.dtypes)["id"]
 
     def compare(t: pa.Table) -> pa.Table:
@@ -217,6 +222,20 @@ def add_tfidf(candidates: DataFrame, tfidf: DataFrame) -> DataFrame:
     return candidates.unionByName(rows).join(t, ["rec", "s1"], "left")
 
 
+#: Text column, n-gram lengths (words: None) and whether grams end at words, of the TF-IDF variants.
+TFIDF_VARIANTS = {
+    "char3_core": ("name_core", (3, 3), True), "char2-4_core": ("name_core", (2, 4), True), "char4_core": ("name_core", (4, 4), True),
+    "char3_norm": ("name_norm", (3, 3), True), "char2-4_norm": ("name_norm", (2, 4), True), "char3x_norm": ("name_norm", (3, 3), False),
+    "char4_norm": ("name_norm", (4, 4), True), "word12_norm": ("name_norm", None, True), "word12_core": ("name_core", None, True),
+}
+
+
+def variant_units(name: str) -> Column:
+    """The n-grams of a named TF-IDF variant."""
+    column, lengths, inside = TFIDF_VARIANTS[name]
+    return grams(F.col(column), *lengths, inside) if lengths else word_grams(F.col(column))
+
+
 def name_only(df: DataFrame) -> DataFrame:
     """Entities with their address blanked, for searches by name alone."""
     return df.withColumns({c: F.lit("") for c in ("addr_latin", "city", "state")})

@@ -7,13 +7,19 @@ from pyspark.sql import functions as F
 from .blocking import top
 
 
+#: Fixed value: p over which a pair is plausible.
+PLAUSIBLE = 0.05
+
+
 def record_table(scored: DataFrame) -> DataFrame:
-    """One row per record: best pair, best and second p (0 where there is none), third p, label and has_addr of the best."""
+    """One row per record: best pair, best and second p (0 where there is none), third p, n_plaus: pairs over PLAUSIBLE, label
+    and has_addr of the best."""
     ranked = F.row_number().over(W.partitionBy("rec").orderBy(F.desc("p"), "s1"))
     at = lambda c, n: F.max(F.when(F.col("_r") == n, F.col(c)))
-    rows = scored.withColumn("_r", ranked).where("_r <= 3").groupBy("rec")
+    plausible = F.count_if(F.col("p") > PLAUSIBLE).over(W.partitionBy("rec"))
+    rows = scored.withColumns({"_r": ranked, "_n": plausible}).where("_r <= 3").groupBy("rec")
     extra = [at(c, 1).alias(a) for c, a in (("label", "label1"), ("has_addr", "has_addr")) if c in scored.columns]
-    return rows.agg(at("s1", 1).alias("s1"), at("p", 1).alias("p1"), F.coalesce(at("p", 2), F.lit(0.0)).alias("p2"), F.coalesce(at("p", 3), F.lit(0.0)).alias("p3"), *extra)
+    return rows.agg(at("s1", 1).alias("s1"), at("p", 1).alias("p1"), F.coalesce(at("p", 2), F.lit(0.0)).alias("p2"), F.coalesce(at("p", 3), F.lit(0.0)).alias("p3"), F.max("_n").alias("n_plaus"), *extra)
 
 
 def accepted(rule: dict, has_addr: Column | None = None, p1: Column | None = None, p2: Column | None = None) -> Column:

@@ -1,9 +1,22 @@
 """Checks of output lists, as a table of violations."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MATCHES, CANDIDATES = ["source1_entity_id", "matched_entity_ids"], ["source1_entity_id", "candidate_entity_ids"]
+
+
+def header_faults(spark: SparkSession, files: dict) -> DataFrame:
+    """(check, s1, rec) for each file whose first line doesn't name the columns. files: path to its columns."""
+    found = []
+    for path, columns in sorted(files.items()):
+        first = spark.read.text(path).limit(1).collect()
+        if not first or first[0]["value"].split("\t") != columns:
+            found.append(("header", path, first[0]["value"] if first else None))
+    return spark.createDataFrame(found, "check string, s1 string, rec string")
+
+
 def explode_lists(out: DataFrame, column: str) -> DataFrame:
     return out.select(F.col("source1_entity_id").alias("s1"), F.explode(F.split(F.coalesce(column, F.lit("")), ",")).alias("rec")).where("rec <> ''")
 

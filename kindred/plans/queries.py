@@ -1,8 +1,5 @@
 """Registered queries: every operator over the test tables, with the SQL that says the same."""
 
-import os
-import tempfile
-
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -12,6 +9,8 @@ from ..functions import text as T
 from ..operators import blocking as B
 from ..operators import collective, decision, features, metrics, model, populations, validate
 from ..sources import files
+from ..sources.store import Store
+from . import linkage
 
 QUERIES, ORACLES = {}, {}
 
@@ -30,6 +29,10 @@ def t(spark, d, name):
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def md5_share(c, parts, below, salt=""):
+    return f"(('0x' || substr(md5({repr(salt)} || CAST({c} AS VARCHAR)), 1, 8))::BIGINT % {parts} < {below})"
+
+
 # ------------------------------------------------------------------ inputs that several queries share
 
 PAIRS = """pairs AS (SELECT l_orderkey AS rec, l_partkey AS s1, max(l_quantity) / CAST(50 AS DOUBLE) AS p,
@@ -65,36 +68,42 @@ def names(spark, d):
 NAMES = """names AS (SELECT CAST(p_partkey AS VARCHAR) AS entity_id, p_brand AS country, lower(p_name) AS name_core,
   concat_ws(' ', CAST(p_size AS VARCHAR), lower(p_type), 'unit b' || CAST(p_size AS VARCHAR)) AS addr_latin, lower(p_type) AS city, CASE WHEN p_size % 3 = 0 THEN '' ELSE 's' || CAST(p_size % 7 AS VARCHAR) END AS state FROM part)"""
 
-DOC_KEYS = """keys AS (SELECT DISTINCT doc_id AS id, lang AS country, unnest(string_split(lower(text), ' ')) AS key FROM documents),
+def doc_keys(chosen="true"):
+    """Documents searched among all others by the words that MAX_DF of them at most share; `chosen` says which search."""
+    return f"""keys AS (SELECT DISTINCT doc_id AS id, lang AS country, unnest(string_split(lower(text), ' ')) AS key FROM documents),
 k AS (SELECT * FROM keys WHERE key <> ''), seen AS (SELECT country, key, count(*) AS df FROM k GROUP BY 1, 2),
 w AS (SELECT id, country, key, df, ln(CAST((SELECT count(*) FROM documents) AS DOUBLE)) - ln(df) AS idf FROM k JOIN seen USING (country, key)),
 norms AS (SELECT id, sqrt(sum(idf * idf)) AS norm FROM w GROUP BY 1),
-scored AS (SELECT k.id AS rec, p.id AS s1, sum(p.idf * p.idf) AS wsum FROM k JOIN w p ON k.country = p.country AND k.key = p.key AND p.df <= 20 AND k.id <> p.id GROUP BY 1, 2),
+scored AS (SELECT k.id AS rec, p.id AS s1, sum(p.idf * p.idf) AS wsum FROM k JOIN w p ON k.country = p.country AND k.key = p.key AND p.df <= {B.MAX_DF} AND k.id <> p.id WHERE {chosen} GROUP BY 1, 2),
 ranked AS (SELECT rec, s1, round(wsum / norm, 6) AS sparse_score, row_number() OVER (PARTITION BY rec ORDER BY round(wsum / norm, 6) DESC, s1) AS sparse_rank FROM scored JOIN norms ON norms.id = scored.s1)"""
 
 
-def doc_search(spark, d, k=10, max_df=20):
+SEARCHING = "id % 100 = 0"  # ids of a search's queries; all rows are searched
+DOC_KEYS, SEARCH_KEYS = doc_keys(), doc_keys(f"k.{SEARCHING}")
+
+
+def doc_search(spark, d, k=10, chosen=None):
     docs = t(spark, d, "documents")
-    keys = B.word_keys(docs, "doc_id", "text", "lang")
-    postings, norms = B.build_index(keys, docs.count(), max_df)
-    return B.sparse_search(keys, postings, norms, k, skip_self=True)
+    keys = Store(spark, "doc-keys").save(B.word_keys(docs, "doc_id", "text", "lang"), "keys")
+    postings, norms = B.build_index(keys, docs.count())
+    return B.sparse_search(keys.where(f"entity_{chosen}") if chosen else keys, postings, norms, k, skip_self=True)
 
 
 # ------------------------------------------------------------------ candidates
 
 
-@query(f"WITH {DOC_KEYS} SELECT rec, s1, sparse_score, sparse_rank FROM ranked WHERE sparse_rank <= 10")
+@query(f"WITH {SEARCH_KEYS} SELECT rec, s1, sparse_score, sparse_rank FROM ranked WHERE sparse_rank <= 10")
 def sparse_search(spark, d):
-    return doc_search(spark, d)
+    return doc_search(spark, d, chosen=SEARCHING)
 
 
-@query(f"""WITH {DOC_KEYS}, best AS (SELECT rec, max(CASE WHEN sparse_rank = 1 THEN s1 END) AS s1, max(CASE WHEN sparse_rank = 1 THEN sparse_score END) AS p1,
+@query(f"""WITH {SEARCH_KEYS}, best AS (SELECT rec, max(CASE WHEN sparse_rank = 1 THEN s1 END) AS s1, max(CASE WHEN sparse_rank = 1 THEN sparse_score END) AS p1,
   coalesce(max(CASE WHEN sparse_rank = 2 THEN sparse_score END), 0.0) AS p2 FROM ranked WHERE sparse_rank <= 10 GROUP BY rec),
 lists AS (SELECT s1, string_agg(CAST(rec AS VARCHAR), ',' ORDER BY CAST(rec AS VARCHAR)) AS l FROM best WHERE p1 >= 10 AND p1 - p2 >= 0.5 GROUP BY s1)
 SELECT doc_id AS source1_entity_id, coalesce(l, '') AS matched_entity_ids FROM documents LEFT JOIN lists ON lists.s1 = doc_id""")
 def link_documents(spark, d):
-    """Near-copy linkage of documents, from keys to output lists."""
-    scored = doc_search(spark, d).select("rec", "s1", F.col("sparse_score").alias("p")).withColumn("has_addr", F.lit(True))
+    """Near-copy linkage of the searching documents to all others, from keys to output lists."""
+    scored = doc_search(spark, d, chosen=SEARCHING).select("rec", "s1", F.col("sparse_score").alias("p")).withColumn("has_addr", F.lit(True))
     decided = decision.decide(decision.record_table(scored), {"thr_addr": 10.0, "thr_noaddr": 10.0, "margin": 0.5})
     return decision.owner_lists(decided.where("accept"), t(spark, d, "documents").select(F.col("doc_id").alias("entity_id")), "matched_entity_ids")
 
@@ -188,7 +197,16 @@ def blocking_keys(spark, d):
     return B.blocking_keys(names(spark, d), "npqgixahsyz")
 
 
-@query()
+def undoubled(sql, letters="bdfgjklmnprstvx"):
+    for x in letters:
+        sql = f"regexp_replace({sql}, '{x}{x}+', '{x}', 'g')"
+    return sql
+
+
+SKELETON = undoubled("regexp_replace(regexp_replace(translate(replace(nm, 'ph', 'f'), 'cqz', 'kks'), '[aeiouyhw]', '', 'g'), '[^a-z0-9 ]', '', 'g')")
+
+
+@query(f"""WITH {KEYS[: KEYS.index("n1 AS")].rstrip().rstrip(",")}, s AS (SELECT entity_id, country, unnest(list_distinct(string_split(trim(regexp_replace({SKELETON}, '\\s+', ' ', 'g')), ' '))) AS x FROM n0) SELECT entity_id, country, 'k:' || x AS key FROM s WHERE length(x) >= 3""")
 def skeleton_keys(spark, d):
     return B.blocking_keys(names(spark, d), "k")
 
@@ -253,27 +271,31 @@ def entity_lists(spark, d):
 
 
 @query(f"""WITH {LISTS}, x AS (SELECT q.entity_id AS rec, s.entity_id AS s1, q.nums AS qn, s.nums AS sn, q.units AS qu, s.units AS su, q.tok_rare AS qr, s.tok_rare AS sr, q.tok_gen AS qg, s.tok_gen AS sg
-  FROM lists q JOIN lists s ON q.country = s.country AND CAST(q.entity_id AS BIGINT) % 20 = CAST(s.entity_id AS BIGINT) % 20),
+  FROM lists q JOIN lists s ON q.country = s.country AND q.nums = s.nums AND q.nums[1] >= 10),
 y AS (SELECT *, len(list_intersect(qn, sn)) AS num_common, len(list_filter(qn, lambda v: NOT list_contains(sn, v))) AS num_only_q, len(list_filter(sn, lambda v: NOT list_contains(qn, v))) AS num_only_s FROM x)
 SELECT rec, s1, len(qn) AS num_q_n, num_common, num_only_q, num_only_s, round(num_common / greatest(len(list_distinct(list_concat(qn, sn))), 1), 6) AS num_jaccard, CASE WHEN len(qn) > 0 AND len(sn) > 0 AND num_common = 0 THEN 1 ELSE 0 END AS num_conflict,
   round(coalesce(ln(1 + abs(list_filter(qn, lambda v: NOT list_contains(sn, v))[1] - list_filter(sn, lambda v: NOT list_contains(qn, v))[1])), -1.0), 6) AS num_absdiff,
   len(list_intersect(qu, su)) AS unit_common, len(list_intersect(qr, sr)) AS rare_common, len(list_filter(qr, lambda v: NOT list_contains(sr, v))) AS rare_only_q, len(list_filter(sg, lambda v: NOT list_contains(qg, v))) AS gen_only_s FROM y""")
 def pair_struct_features(spark, d):
+    """Of all pairs that a number key brings together."""
+    keys = B.blocking_keys(names(spark, d), "h").select("country", "key", F.col("entity_id").alias("x"))
+    pairs = keys.withColumnRenamed("x", "rec").join(keys.withColumnRenamed("x", "s1"), ["country", "key"]).select("rec", "s1").distinct()
     e = part_lists(spark, d)
-    side = lambda p, i: e.select(F.col("entity_id").alias(i), F.col("country").alias("c"), (F.col("entity_id").cast("long") % 20).alias("m"), *[F.col(x).alias(f"{p}_{x}") for x in ("nums", "units", "tok_rare", "tok_gen", "legal_form", "legal_code", "state_code")])
-    f = features.pair_struct_features(side("q", "rec").join(side("s", "s1"), ["c", "m"]))
+    side = lambda p, i: e.select(F.col("entity_id").alias(i), *[F.col(x).alias(f"{p}_{x}") for x in ("nums", "units", "tok_rare", "tok_gen", "legal_form", "legal_code", "state_code")])
+    f = features.pair_struct_features(pairs.join(side("q", "rec"), "rec").join(side("s", "s1"), "s1"))
     return f.select("rec", "s1", "num_q_n", "num_common", "num_only_q", "num_only_s", F.round("num_jaccard", 6).alias("num_jaccard"), "num_conflict", F.round("num_absdiff", 6).alias("num_absdiff"), "unit_common", "rare_common", "rare_only_q", "gen_only_s")
 
 
-@query(f"""WITH {PAIRS}, f AS (SELECT rec, s1, p, (p * 100) AS name_ratio FROM pairs), g AS (SELECT *, max(name_ratio) OVER r - name_ratio AS name_ratio_gap, rank() OVER (PARTITION BY rec ORDER BY name_ratio DESC) AS name_ratio_rank,
+@query("""WITH f AS (SELECT l_orderkey AS rec, l_partkey AS s1, max(l_quantity) / CAST(50 AS DOUBLE) * 100 AS name_ratio, max(l_tax) AS name_tset, max(l_discount) AS name_jw FROM lineitem GROUP BY 1, 2),
+g AS (SELECT *, max(name_ratio) OVER r - name_ratio AS name_ratio_gap, max(name_tset) OVER r - name_tset AS name_tset_gap, max(name_jw) OVER r - name_jw AS name_jw_gap, rank() OVER (PARTITION BY rec ORDER BY name_ratio DESC) AS name_ratio_rank,
   count(*) FILTER (WHERE name_ratio >= 97) OVER r AS n_name97, count(*) FILTER (WHERE name_ratio >= 90) OVER r AS n_name90, count(*) OVER r AS n_cands FROM f WINDOW r AS (PARTITION BY rec)),
 tw AS (SELECT p_partkey AS s1, count(*) OVER (PARTITION BY p_brand, lower(p_name)) AS s_name_twins FROM part)
-SELECT rec, s1, name_ratio, name_ratio_gap, name_ratio_rank, n_name97, n_name90, coalesce(s_name_twins, 0) AS s_name_twins, n_name90 / CAST(n_cands AS DOUBLE) AS cand_dup_frac FROM g LEFT JOIN tw USING (s1)""")
+SELECT rec, s1, name_ratio, name_ratio_gap, name_tset_gap, name_jw_gap, name_ratio_rank, n_name97, n_name90, coalesce(s_name_twins, 0) AS s_name_twins, n_name90 / CAST(n_cands AS DOUBLE) AS cand_dup_frac FROM g LEFT JOIN tw USING (s1)""")
 def relative_features(spark, d):
-    f = pairs(spark, d).select("rec", "s1", (F.col("p") * 100).alias("name_ratio"))
-    f = f.withColumns({"name_tset": F.col("name_ratio"), "name_jw": F.col("name_ratio"), "n_cands": F.count(F.lit(1)).over(W.partitionBy("rec"))})
+    f = t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("rec"), F.col("l_partkey").alias("s1")).agg((F.max("l_quantity") / 50 * 100).alias("name_ratio"), F.max("l_tax").alias("name_tset"), F.max("l_discount").alias("name_jw"))
+    f = f.withColumn("n_cands", F.count(F.lit(1)).over(W.partitionBy("rec")))
     twins = features.name_twins(names(spark, d)).withColumn("s1", F.col("s1").cast("long"))
-    return features.relative_features(f, twins).select("rec", "s1", "name_ratio", "name_ratio_gap", "name_ratio_rank", "n_name97", "n_name90", "s_name_twins", "cand_dup_frac")
+    return features.relative_features(f, twins).select("rec", "s1", "name_ratio", "name_ratio_gap", "name_tset_gap", "name_jw_gap", "name_ratio_rank", "n_name97", "n_name90", "s_name_twins", "cand_dup_frac")
 
 
 @query(f"""WITH {PAIRS}, s AS (SELECT l_orderkey AS rec, l_partkey AS s1, max(l_tax) AS score FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1, 2), j AS (SELECT rec, s1, p, score AS ce_score FROM pairs LEFT JOIN s USING (rec, s1))
@@ -304,11 +326,80 @@ def unseen_codes(spark, d):
     return features.unseen_codes_to_unknown(t(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("code")), {"code": {1, 2, 3, 5, 8, 13, 21}})
 
 
+NORMED = f"""{NAMES}, normed AS (SELECT *, name_core AS name_norm, upper(name_core) AS name_raw, concat_ws(', ', addr_latin, nullif(state, '')) AS addr_norm FROM names)"""
+
+
+def normed(spark, d):
+    """The parts as normalised entities."""
+    e = names(spark, d)
+    return e.withColumns({"name_norm": F.col("name_core"), "name_latin": F.col("name_core"), "name_raw": F.upper("name_core"), "addr_raw": F.col("addr_latin"), "addr_norm": F.concat_ws(", ", "addr_latin", F.when(F.col("state") != "", F.col("state"))), "legal_form": F.lit(""), "postal": F.lit(""), "is_domain": F.lit(False), "has_addr": F.lit(True)})
+
+
+def part_pairs(spark, d):
+    return pairs(spark, d).select((F.col("rec") % F.lit(t(spark, d, "part").count()) + 1).cast("string").alias("rec"), F.col("s1").cast("string").alias("s1")).distinct()
+
+
+PART_PAIRS = f"{PAIRS}, pp AS (SELECT DISTINCT CAST(rec % (SELECT count(*) FROM part) + 1 AS VARCHAR) AS rec, CAST(s1 AS VARCHAR) AS s1 FROM pairs)"
+
+
+@query(f"""WITH {NORMED}, {PART_PAIRS}, x AS (SELECT entity_id, concat_ws(' | ', name_norm, addr_norm) AS t, state FROM normed), y AS (SELECT entity_id, t, CASE WHEN state <> '' AND ends_with(t, state) THEN regexp_replace(t, ',?\\s*\\S+$', '') ELSE t END AS b FROM x)
+SELECT pp.rec, pp.s1, CASE WHEN {md5_share("pp.rec || '|' || pp.s1", 10000, 3000, 'hide')} THEN q.b ELSE q.t END AS "left", CASE WHEN {md5_share("pp.rec || '|' || pp.s1", 10000, 3000, 'hide')} THEN s.b ELSE s.t END AS "right" FROM pp LEFT JOIN y q ON q.entity_id = pp.rec LEFT JOIN y s ON s.entity_id = pp.s1""")
+def pair_text(spark, d):
+    return features.pair_text(part_pairs(spark, d), normed(spark, d), "joint", 0.3)
+
+
+@query()
+def pair_scores(spark, d):
+    """The pair texts through the default scorer."""
+    return model.pair_scorer(features.pair_text(part_pairs(spark, d), normed(spark, d), "joint", 0.3)).select("rec", "s1", F.round("score", 6).alias("score"))
+
+
+@query(f"""WITH {NORMED}, x AS (SELECT entity_id, addr_norm, ('0x' || substr(md5('damage' || entity_id), 1, 8))::BIGINT % 10000 AS h FROM normed)
+SELECT entity_id, CASE WHEN h >= 3000 THEN addr_norm WHEN h % 2 = 0 THEN regexp_replace(addr_norm, ',[^,]*$', '') ELSE regexp_replace(addr_norm, '^(\\D*)\\d', '\\1') END AS addr_latin FROM x""")
+def damaged(spark, d):
+    return features.damaged(normed(spark, d).withColumn("addr_latin", F.col("addr_norm"))).select("entity_id", "addr_latin")
+
+
+@query()
+def string_features(spark, d):
+    """All similarities, equalities and list features of pairs of parts."""
+    e = normed(spark, d)
+    f = features.string_features(part_pairs(spark, d), e, features.vocabulary(e))
+    return f.select(*[F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in f.dtypes])
+
+
+@query()
+def raw_name_features(spark, d):
+    f = features.raw_name_features(part_pairs(spark, d), normed(spark, d))
+    return f.select(*[F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in f.dtypes])
+
+
+@query("""WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS e, CASE WHEN c_custkey % 3 = 0 THEN 'US' ELSE 'France' END AS country, c_custkey % 3 AS m, CAST(c_custkey AS VARCHAR) AS k, lower(c_mktsegment) AS s FROM customer)
+SELECT e AS entity_id, country, CASE m WHEN 0 THEN s || ' sas' ELSE s END AS name_core, CASE m WHEN 0 THEN '' WHEN 1 THEN 'sarl' ELSE 'sas' END AS legal_form, CASE m WHEN 0 THEN k || ' r x, gironde' WHEN 1 THEN k || ' rue de ' || s || ', bordeaux' ELSE k || ' avenue saint ' || s END AS addr_latin FROM c""")
+def french_entities(spark, d):
+    """Single letters and words that are a form, streets to spell out, regions that say nothing; rows of other countries stay."""
+    m, k, s = F.col("c_custkey") % 3, F.col("c_custkey").cast("string"), F.lower("c_mktsegment")
+    e = t(spark, d, "customer").select(k.alias("entity_id"), F.when(m == 0, "US").otherwise("France").alias("country"), F.when(m == 1, F.concat(F.lit("s a r l "), s)).otherwise(F.concat(s, F.lit(" sas"))).alias("name_core"), F.lit("").alias("legal_form"),
+        F.when(m == 0, F.concat(k, F.lit(" r x, gironde"))).when(m == 1, F.concat(k, F.lit(" r. de "), s, F.lit(", Gironde,  bordeaux"))).otherwise(F.concat(F.lit("No "), k, F.lit(" av st-"), s, F.lit(", nr"))).alias("addr_latin"))
+    return features.french_entities(e)
+
+
+@query()
+def tfidf_variants(spark, d):
+    """The best candidate of each distinct name under every named variant."""
+    docs = names(spark, d).select(F.col("country").alias("scope"), "name_core", F.col("name_core").alias("name_norm")).distinct().withColumn("id", F.concat_ws("/", "scope", "name_core"))
+    out = None
+    for name in sorted(B.TFIDF_VARIANTS):
+        part = B.tfidf_search(docs, docs, B.variant_units(name), 2).select(F.lit(name).alias("variant"), "rec", "s1", "score", "rank")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ------------------------------------------------------------------ decision and output
 
 RANKED = "ranked AS (SELECT *, row_number() OVER (PARTITION BY rec ORDER BY p DESC, s1) AS r FROM pairs)"
 RT = f"""{PAIRS}, {RANKED}, rt AS (SELECT rec, max(s1) FILTER (WHERE r = 1) AS s1, max(p) FILTER (WHERE r = 1) AS p1, coalesce(max(p) FILTER (WHERE r = 2), 0.0) AS p2, coalesce(max(p) FILTER (WHERE r = 3), 0.0) AS p3,
-  max(label) FILTER (WHERE r = 1) AS label1, max(has_addr) FILTER (WHERE r = 1) AS has_addr FROM ranked WHERE r <= 3 GROUP BY rec)"""
+  count(*) FILTER (WHERE p > 0.05) AS n_plaus, max(label) FILTER (WHERE r = 1) AS label1, max(has_addr) FILTER (WHERE r = 1) AS has_addr FROM ranked GROUP BY rec)"""
 
 
 @query(f"WITH {RT} SELECT * FROM rt")
@@ -389,6 +480,23 @@ def pass2_features(spark, d):
     return collective.pass2_features(pairs(spark, d), e)
 
 
+SOURCED = """sp AS (SELECT 'S' || (2 + rec % 2) || '-' || rec AS rec, s1, p FROM pairs), a0 AS (SELECT *, row_number() OVER (PARTITION BY rec ORDER BY p DESC, s1) AS rank_p FROM sp WHERE p >= 0.005),
+a AS (SELECT *, CASE WHEN rank_p = 1 AND p >= 0.5 THEN 1 ELSE 0 END AS claim, CASE WHEN rank_p = 1 AND p >= 0.9 THEN 1 ELSE 0 END AS claim_hi, starts_with(rec, 'S3') AS s3 FROM a0 WHERE rank_p <= 5),
+m AS (SELECT *, max(p) OVER (PARTITION BY s1) AS top, coalesce(nth_value(p, 2) OVER (PARTITION BY s1 ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0.0) AS nxt FROM a),
+c AS (SELECT rec, s1, p, max(p) OVER (PARTITION BY rec) - p AS gap_p, sum(claim) OVER e - claim AS others, sum(claim_hi) OVER e - claim_hi AS others_hi, sum(CASE WHEN s3 THEN claim ELSE 0 END) OVER e - CASE WHEN s3 THEN claim ELSE 0 END AS others_s3,
+  sum(CASE WHEN s3 THEN 0 ELSE claim END) OVER e - CASE WHEN s3 THEN 0 ELSE claim END AS others_s2, round(sum(p) OVER e - p, 9) AS others_p, CASE WHEN p >= top THEN nxt ELSE top END AS others_p_max, rank() OVER (PARTITION BY s1 ORDER BY p DESC) - 1 AS n_better FROM m WINDOW e AS (PARTITION BY s1)),
+o AS (SELECT x.rec, x.s1, max(y.others) AS others_other, max(y.others_hi) AS others_hi_other, max(y.others_p) AS others_p_other FROM c x JOIN c y ON x.rec = y.rec AND x.s1 <> y.s1 GROUP BY 1, 2)"""
+
+
+@query(f"""WITH {PAIRS}, {SOURCED} SELECT c.rec, c.s1, p, gap_p, CAST(others AS BIGINT) AS others, CAST(others_hi AS BIGINT) AS others_hi, CAST(others_s2 AS BIGINT) AS others_s2, CAST(others_s3 AS BIGINT) AS others_s3, round(others_p, 6) AS others_p, others_p_max, n_better,
+CAST(coalesce(others_other, 0) AS DOUBLE) AS others_other, CAST(coalesce(others_hi_other, 0) AS DOUBLE) AS others_hi_other, round(others_p - coalesce(others_p_other, 0), 6) AS others_p_gap FROM c LEFT JOIN o ON o.rec = c.rec AND o.s1 = c.s1""")
+def pass2_claims(spark, d):
+    """All features of the second pass that compare no texts; records come from two sources."""
+    x = pairs(spark, d).withColumn("rec", F.concat(F.lit("S"), (2 + F.col("rec") % 2).cast("string"), F.lit("-"), F.col("rec").cast("string")))
+    f = collective.best_other(collective.claims(x), ["others", "others_hi", "others_p"])
+    return f.select("rec", "s1", "p", "gap_p", "others", "others_hi", "others_s2", "others_s3", F.round("others_p", 6).alias("others_p"), "others_p_max", "n_better", "others_other", "others_hi_other", F.round(F.col("others_p") - F.col("others_p_other"), 6).alias("others_p_gap"))
+
+
 # ------------------------------------------------------------------ populations and truth
 
 TRUTH = "truth AS (SELECT min(doc_id) OVER (PARTITION BY text) AS s1, doc_id AS rec FROM documents)"
@@ -398,10 +506,6 @@ def truth(spark, d):
     return t(spark, d, "documents").select(F.min("doc_id").over(W.partitionBy(F.xxhash64("text"), "text")).alias("s1"), F.col("doc_id").alias("rec"))
 
 
-def md5_share(c, parts, below, salt=""):
-    return f"(('0x' || substr(md5({repr(salt)} || CAST({c} AS VARCHAR)), 1, 8))::BIGINT % {parts} < {below})"
-
-
 @query(f"""WITH p AS (SELECT o_orderkey AS rec, o_custkey AS s1 FROM orders WHERE o_orderkey % 5 <> 0) SELECT o_orderkey AS entity_id FROM orders LEFT JOIN p ON p.rec = o_orderkey
 WHERE (p.s1 IS NULL OR {md5_share('p.s1', 10, 1, 'held')}) AND {md5_share('o_orderkey', 100000, 50000, 'eval')}""")
 def eval_queries(spark, d):
@@ -428,8 +532,24 @@ def truth_pairs(spark, d):
     return files.truth_pairs(lists.unionByName(empty))
 
 
+@query(f"""WITH p AS (SELECT o_orderkey AS rec, o_custkey AS s1 FROM orders WHERE o_orderkey % 5 <> 0) SELECT o_orderkey AS entity_id FROM orders LEFT JOIN p ON p.rec = o_orderkey
+WHERE o_orderkey % 4 = 0 AND o_orderkey % 9 <> 0 AND CASE WHEN p.s1 IS NOT NULL THEN NOT {md5_share('p.s1', 10, 1, 'held')} ELSE NOT {md5_share('o_orderkey', 10, 1, 'held')} END""")
+def trainall_queries(spark, d):
+    o = t(spark, d, "orders").select(F.col("o_orderkey").alias("entity_id"), F.col("o_custkey").alias("s1"), (F.col("o_orderkey") % 4 != 0).alias("has_addr"))
+    return populations.trainall_queries(o.select("entity_id", "has_addr"), o.where("entity_id % 5 <> 0").select(F.col("entity_id").alias("rec"), "s1"), o.where("entity_id % 9 = 0"))
+
+
+@query("SELECT o_orderkey AS entity_id FROM orders ORDER BY md5('shuffle' || o_orderkey), o_orderkey LIMIT 50")
+def shuffled_sample(spark, d):
+    return populations.shuffled(t(spark, d, "orders").select(F.col("o_orderkey").alias("entity_id")), most=50)
+
+
 # ------------------------------------------------------------------ evaluation
 
+@query(f"WITH {PAIRS}, q AS (SELECT label, p, least(1 - 1e-6::DOUBLE, greatest(1e-6::DOUBLE, p)) AS c FROM pairs) SELECT round(avg(-CASE WHEN label = 1 THEN ln(c) ELSE ln(1 - c) END), 6) AS logloss, count(*) FILTER (WHERE label = 0 AND p > 0.9) AS wrong_but_sure, count(*) FILTER (WHERE label = 1 AND p < 0.5) AS missed FROM q")
+def logloss(spark, d):
+    return metrics.logloss(pairs(spark, d))
+
 
 @query(f"""WITH {DOC_KEYS}, {TRUTH}, x AS (SELECT sparse_rank AS r FROM truth LEFT JOIN ranked ON ranked.rec = truth.rec AND ranked.s1 = truth.s1 AND sparse_rank <= 10 WHERE truth.s1 <> truth.rec)
 SELECT round(avg(CASE WHEN r <= 1 THEN 1.0 ELSE 0.0 END), 6) AS recall_1, round(avg(CASE WHEN r <= 5 THEN 1.0 ELSE 0.0 END), 6) AS recall_5, round(avg(CASE WHEN r <= 10 THEN 1.0 ELSE 0.0 END), 6) AS recall_10 FROM x""")
@@ -473,11 +593,18 @@ def rule_grid(spark, d):
     return metrics.grid_f05(rt, [dict(zip(("thr_addr", "thr_noaddr", "margin", "margin_noaddr"), r)) for r in GRID_RULES], 1.5)
 
 
-@query()
+EXACT_RULES = [(a, m) for a in (0.5, 0.8, 0.9) for m in (0.0, 0.1)]
+EXACT_VALUES = ", ".join(f"({i}, {a}::DOUBLE, {m}::DOUBLE)" for i, (a, m) in enumerate(EXACT_RULES))
+
+
+@query(f"""WITH {RT}, rules AS (SELECT * FROM (VALUES {EXACT_VALUES}) v(rule, thr, margin)), e AS (SELECT p_partkey AS s1 FROM part WHERE {md5_share('p_partkey', 2, 1, 'half')}),
+tr AS (SELECT s1, count(*) AS n_true FROM pairs WHERE label = 1 GROUP BY 1), pr AS (SELECT rule, s1, count(*) AS n_pred, count(*) FILTER (WHERE label1 = 1) AS n_right FROM rt, rules WHERE p1 >= thr AND p1 - p2 >= margin GROUP BY 1, 2),
+z AS (SELECT rules.rule, e.s1, coalesce(n_true, 0) AS n_true, coalesce(n_pred, 0) AS n_pred, coalesce(n_right, 0) AS n_right FROM e CROSS JOIN rules LEFT JOIN tr ON tr.s1 = e.s1 LEFT JOIN pr ON pr.s1 = e.s1 AND pr.rule = rules.rule)
+SELECT rule, round(avg(CASE WHEN n_true = 0 THEN CASE WHEN n_pred = 0 THEN 1.0 ELSE 0.0 END WHEN n_right = 0 THEN 0.0 ELSE 1.25 * (n_right / n_pred) * (n_right / n_true) / (0.25 * (n_right / n_pred) + n_right / n_true) END), 6) AS f05 FROM z GROUP BY 1""")
 def exact_rule_scores(spark, d):
     x = pairs(spark, d)
     rt = decision.record_table(x).withColumn("owned", F.col("rec") % 6 != 0)
-    rules = [{"thr_addr": a, "thr_noaddr": a, "margin": m} for a in (0.5, 0.8, 0.9) for m in (0.0, 0.1)]
+    rules = [{"thr_addr": a, "thr_noaddr": a, "margin": m} for a, m in EXACT_RULES]
     return metrics.exact_rule_scores(rt, x.where("label = 1"), t(spark, d, "part").select(F.col("p_partkey").alias("entity_id")), rules, populations.halves("entity_id"))
 
 
@@ -534,6 +661,18 @@ def mine_hard(spark, d):
     return model.mine_hard(pairs(spark, d).withColumn("p_mine", F.col("p"))).select("rec", "s1", "label", "weight")
 
 
+@query()
+def pairs_to_train(spark, d):
+    """Hard and easy pairs for a pair model."""
+    return model.mine_pairs(pairs(spark, d))
+
+
+@query()
+def accept_scores(spark, d):
+    rt = decision.record_table(pairs(spark, d)).withColumn("owned", F.col("rec") % 6 != 0)
+    return model.accept_scores(rt, 1.5, folds=2, rounds=3, depth=3).select("rec", "label", F.round("q", 6).alias("q"))
+
+
 @query(f"SELECT o_orderkey AS rec, CASE WHEN {md5_share('o_orderkey', 1000, 500, 'drop')} THEN 0 ELSE o_custkey END AS code FROM orders")
 def code_dropout(spark, d):
     return model.code_dropout(t(spark, d, "orders").select(F.col("o_orderkey").alias("rec"), F.col("o_custkey").alias("code")), ["code"])
@@ -586,7 +725,7 @@ def list_functions(spark, d):
 
 @query("""SELECT p_partkey, trim(regexp_replace(translate(replace(lower(p_name), 'ph', 'f'), 'cqz', 'kks'), '[aeiouyhw]', '', 'g')) AS bare FROM part""")
 def consonants(spark, d):
-    return t(spark, d, "part").select("p_partkey", F.trim(F.regexp_replace(F.translate(F.replace(F.lower("p_name"), F.lit("ph"), F.lit("f")), "cqz", "kks"), "[aeiouyhw]", "")).alias("bare"))
+    return t(spark, d, "part").select("p_partkey", F.trim(C.bare_consonants(F.lower("p_name"))).alias("bare"))
 
 
 @query()
@@ -594,16 +733,25 @@ def normalized_names(spark, d):
     return t(spark, d, "part").select("p_partkey", T.normalize_name(F.concat_ws(" ", F.lit("The"), "p_name", F.lit("Private Limited"))).alias("n")).select("p_partkey", "n.*")
 
 
-@query()
+@query("""WITH c AS (SELECT c_custkey AS k, c_custkey % 4 AS m, lower(c_mktsegment) AS s, CAST(c_nationkey AS VARCHAR) AS n FROM customer),
+x AS (SELECT k AS c_custkey, CASE m WHEN 0 THEN k || ' n ' || s || ' street, unit ' || n || ', springfield, il' WHEN 1 THEN k || ' south ' || s || ' road, saint louis, tx' WHEN 2 THEN 'plot no ' || k || ', ' || s || ' nagar, pune, mh' ELSE '' END AS norm,
+  CASE m WHEN 0 THEN 'il' WHEN 1 THEN 'tx' WHEN 2 THEN 'mh' ELSE '' END AS state, CASE m WHEN 0 THEN 'springfield' WHEN 1 THEN 'saint louis' WHEN 2 THEN 'pune' ELSE '' END AS city,
+  CASE WHEN m < 3 AND k BETWEEN 10000 AND 999999 THEN CAST(k AS VARCHAR) WHEN m = 0 THEN '62704' ELSE '' END AS postal FROM c)
+SELECT c_custkey, norm, norm AS latin, state, city, postal FROM x""")
 def normalized_addresses(spark, d):
-    a = t(spark, d, "customer").select("c_custkey", F.concat(F.col("c_custkey").cast("string"), F.lit(" N Main St, Apt 4, Springfield, IL 62704")).alias("a"))
-    return a.select("c_custkey", T.normalize_address(F.col("a"), F.lit("US")).alias("n")).select("c_custkey", "n.*")
+    """Codes and names of states in every place, streets and signs to spell out, parts that say nothing, no address."""
+    k, m, n = (F.col(c).cast("string") for c in ("c_custkey", "m", "c_nationkey"))
+    c = t(spark, d, "customer").withColumn("m", F.col("c_custkey") % 4)
+    us = F.concat(k, F.lit(" N "), "c_mktsegment", F.lit(" St., Apt "), n, F.lit(", Springfield, IL 62704"))
+    front = F.concat(F.lit("Texas, "), k, F.lit("  S "), "c_mktsegment", F.lit(" Rd|St Louis"))
+    india = F.concat(F.lit("Plot #"), k, F.lit("; NULL; "), "c_mktsegment", F.lit(" Nagar; Pune; \u092e\u0939\u093e\u0930\u093e\u0937\u094d\u091f\u094d\u0930"))
+    a = c.select("c_custkey", F.when(m == "0", us).when(m == "1", front).when(m == "2", india).alias("a"), F.when(m == "2", "India").otherwise("US").alias("country"))
+    return a.select("c_custkey", T.normalize_address(F.col("a"), F.col("country")).alias("n")).select("c_custkey", "n.*")
 
 
-@query("SELECT doc_id, text AS fixed FROM documents WHERE regexp_full_match(text, '[ -@\\[-~\\n]*')")
+@query()
 def fixed_text(spark, d):
-    """Plain lower-case ASCII stays as it is."""
-    return t(spark, d, "documents").where(F.col("text").rlike(r"^[ -@\[-~\n]*$")).select("doc_id", T.fixed(F.col("text")).alias("fixed"))
+    return t(spark, d, "documents").select("doc_id", T.fixed(F.col("text")).alias("fixed"))
 
 
 # ------------------------------------------------------------------ relational primitives
@@ -676,9 +824,11 @@ def keep_best(spark, d):
     return B.top(t(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), "o_custkey", "o_totalprice", "o_orderkey", 1, "r").drop("r")
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey BETWEEN 100 AND 400 AND o_orderstatus IN ('F', 'O') ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey >= (SELECT max(o_orderkey) // 2 FROM orders) AND o_orderstatus IN ('F', 'O') ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
 def slice_and_sort(spark, d):
-    return t(spark, d, "orders").where(F.col("o_orderkey").between(100, 400) & F.col("o_orderstatus").isin("F", "O")).select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
+    o = t(spark, d, "orders")
+    half = o.agg(F.floor(F.max("o_orderkey") / 2).cast("long")).scalar()
+    return o.where((F.col("o_orderkey") >= half) & F.col("o_orderstatus").isin("F", "O")).select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
 
 
 @query(f"SELECT o_orderkey, 1 / CAST(0.15 AS DOUBLE) AS weight FROM orders WHERE {md5_share('o_orderkey', 100, 15, 'keep')}")
@@ -686,6 +836,15 @@ def weighted_sample(spark, d):
     return t(spark, d, "orders").where(C.in_share(F.col("o_orderkey"), 100, 15, "keep")).select("o_orderkey", F.lit(1 / 0.15).alias("weight"))
 
 
+@query("SELECT o_orderkey, o_custkey FROM orders")
+def part_files(spark, d):
+    """Parts written one by one, each marked as complete, and read by a pattern."""
+    o, base = t(spark, d, "orders").select("o_orderkey", "o_custkey"), Store(spark, "parts").base
+    for k in range(3):
+        files.table_or(spark, f"{base}/part{k}.parquet", lambda: o.where(F.pmod("o_custkey", F.lit(3)) == k))  # noqa: B023
+    return files.read_parts(spark, f"{base}/part*.parquet", "o_orderkey long, o_custkey long")
+
+
 @query("SELECT l_returnflag, quantile_cont(l_quantity, 0.5) AS median FROM lineitem GROUP BY 1")
 def quantiles(spark, d):
     return t(spark, d, "lineitem").groupBy("l_returnflag").agg(F.percentile("l_quantity", F.lit(0.5)).alias("median"))
@@ -694,7 +853,44 @@ def quantiles(spark, d):
 @query("SELECT CAST(c_custkey AS VARCHAR) AS entity_id, '\"' || c_name || '\" & Co' AS business_name, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS business_address, CAST(c_nationkey AS VARCHAR) AS country FROM customer")
 def tsv_round_trip(spark, d):
     c = t(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("entity_id"), F.concat(F.lit('"'), "c_name", F.lit('" & Co')).alias("business_name"), F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).otherwise("").alias("business_address"), F.col("c_nationkey").cast("string").alias("country"))
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kindred-tsv-")
-    path = os.path.join(shared, f"tsv-{abs(hash(d))}")
-    files.write_tsv(c, path, "entity_id")
+    path = f"{Store(spark, 'tsv').base}/one.tsv"
+    files.write_one_tsv(c, path, "entity_id")
     return files.read_tsv(spark, path)
+
+
+# ------------------------------------------------------------------ the whole plan
+
+SYLLABLES = ["ka", "ro", "mi", "ten", "sol", "var", "dex", "pra", "lin", "tor", "bex", "nal", "qui", "zam", "hul", "fer"]
+
+
+def derived_sources(spark, d):
+    """([S1, S2, S3], truth): customers as entities whose names and places are spelled from a hash of their key; two noisy copies
+    of most, some without an address, and suppliers as records that nobody owns."""
+    def spelled(key, at, n):
+        digits = [F.conv(F.substring(F.md5(key.cast("binary")), at + i, 1), 16, 10).cast("int") for i in range(n)]
+        return F.concat(*[F.element_at(F.array(*map(F.lit, SYLLABLES)), x + 1) for x in digits])
+
+    def entities(df, key, country):
+        k = key.cast("string")
+        return df.select(k.alias("k"), F.element_at(F.array(F.lit("US"), F.lit("India"), F.lit("France")), (country % 3 + 1).cast("int")).alias("country"), F.concat_ws(" ", spelled(k, 1, 3), spelled(k, 5, 2)).alias("name"), F.concat(F.lit(1) + key % 997, F.lit(" "), spelled(k, 9, 2), F.lit(" Street, "), spelled(k, 12, 3)).alias("place"))
+
+    def copy(df, source, salt):
+        share = lambda parts, below, what: C.in_share(F.col("k"), parts, below, f"{salt}{what}")
+        name = F.when(share(10, 6, "name"), F.col("name")).otherwise(F.concat(F.expr("left(name, length(name) - 1)"), F.lit("y")))
+        place = F.when(share(10, 8, "place"), F.replace("place", F.lit("Street"), F.lit("St"))).otherwise("")
+        return df.where(share(4, 3, "own")).select(F.concat(F.lit(f"{source}-"), "k").alias("entity_id"), F.concat(F.upper(name), F.lit(" Ltd.")).alias("business_name"), place.alias("business_address"), "country")
+
+    c = entities(t(spark, d, "customer"), F.col("c_custkey"), F.col("c_nationkey"))
+    orphans = entities(t(spark, d, "supplier"), F.col("s_suppkey") + 10_000_000, F.col("s_nationkey"))
+    s1 = c.select(F.concat(F.lit("S1-"), "k").alias("entity_id"), F.initcap("name").alias("business_name"), F.col("place").alias("business_address"), "country")
+    s2, s3 = copy(c, "S2", "two"), copy(c, "S3", "three")
+    truth = s2.unionByName(s3).select(F.concat(F.lit("S1-"), F.substring_index("entity_id", "-", -1)).alias("s1"), F.col("entity_id").alias("rec"))
+    return [s1, s2.unionByName(copy(orphans, "S2", "orphan")), s3], truth
+
+
+@query()
+def link_sources(spark, d):
+    """The plan from raw sources to the decision of each record, learned on seven tenths of the records."""
+    sources, truth = derived_sources(spark, d)
+    out = linkage.link(sources, truth, train=C.in_share(F.col("rec"), 10, 7, "t"))
+    return out["decided"].select("rec", "s1", F.round("p1", 6).alias("p1"), "accept", "owned")

@@ -21,6 +21,39 @@ def write_tsv(df: DataFrame, path: str, sort_by: str | None = None) -> None:
     rows.write.mode("overwrite").option("sep", "\t").option("quote", "").option("header", True).option("emptyValue", "").csv(path)
 
 
+def write_one_tsv(df: DataFrame, path: str, sort_by: str) -> None:
+    """One ordered file with one header. Its parts are sorted and written by all tasks; the driver only joins their bytes."""
+    spark = df.sparkSession
+    parts = f"{path}.parts"
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]).alias("value")
+    df.repartitionByRange(sort_by).sortWithinPartitions(sort_by).select(line).write.mode("overwrite").text(parts)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(parts)
+    fs = folder.getFileSystem(conf)
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(path), True)
+    try:
+        out.write(bytearray(("\t".join(df.columns) + "\n").encode()))
+        for name in sorted(x.getPath().getName() for x in fs.listStatus(folder)):
+            if name.startswith("part-"):
+                part = fs.open(jvm.org.apache.hadoop.fs.Path(folder, name))
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+                part.close()
+    finally:
+        out.close()
+    fs.delete(folder, True)
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    """A small table, such as scores of a few settings, as one CSV file with a header."""
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_parts(spark: SparkSession, pattern: str, schema: str | None = None) -> DataFrame:
+    """Part tables of one schema by a path pattern, as one table."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(pattern)
+
+
 def truth_pairs(truth: DataFrame) -> DataFrame:
     """(s1, rec) of comma lists."""
     return truth.select(F.col("source1_entity_id").alias("s1"), F.explode(F.split(F.coalesce("matched_entity_ids", F.lit("")), ",")).alias("rec")).where("rec <> ''")
@@ -39,11 +72,13 @@ def table_or(spark: SparkSession, path: str, make) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_rule(rule: dict, path: str) -> None:
-    with open(path, "w") as f:
-        json.dump(rule, f, indent=1, sort_keys=True)
+def write_rule(spark: SparkSession, rule: dict, path: str) -> None:
+    """A rule as JSON, on any file system that Spark writes to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(json.dumps(rule, indent=1, sort_keys=True).encode()))
+    out.close()
 
 
-def read_rule(path: str) -> dict:
-    with open(path) as f:
-        return json.load(f)
+def read_rule(spark: SparkSession, path: str) -> dict:
+    return json.loads("\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()))

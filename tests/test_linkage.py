@@ -76,8 +76,18 @@ def test_files(spark, tmp_path):
     for _ in range(2):
         assert files.table_or(spark, f"{tmp_path}/t", make).count() == 5
     assert made == [1]
-    files.write_rule({"margin": 0.1}, f"{tmp_path}/r.json")
-    assert files.read_rule(f"{tmp_path}/r.json") == {"margin": 0.1}
+    files.write_rule(spark, {"margin": 0.1}, f"{tmp_path}/r.json")
+    assert files.read_rule(spark, f"{tmp_path}/r.json") == {"margin": 0.1}
+    for k in range(3):
+        spark.range(k, k + 2).write.parquet(f"{tmp_path}/out/part{k}.parquet")
+    assert files.read_parts(spark, f"{tmp_path}/out/part*.parquet").count() == 6
+    rows = spark.createDataFrame([(f"S1-{i:03}", None if i % 2 else f'"{i}"') for i in range(200)], "source1_entity_id string, matched_entity_ids string")
+    files.write_one_tsv(rows.repartition(7), f"{tmp_path}/one.tsv", "source1_entity_id")
+    assert (tmp_path / "one.tsv").read_text() == "source1_entity_id\tmatched_entity_ids\n" + "".join(f"S1-{i:03}\t" + ("" if i % 2 else f'"{i}"') + "\n" for i in range(200))
+    faults = validate.header_faults(spark, {f"{tmp_path}/one.tsv": validate.MATCHES, f"{tmp_path}/r.json": validate.CANDIDATES})
+    assert [(r["check"], r["s1"]) for r in faults.collect()] == [("header", f"{tmp_path}/r.json")]
+    files.write_report(rows.limit(3), f"{tmp_path}/report")
+    assert spark.read.option("header", True).csv(f"{tmp_path}/report").count() == 3
 
 
 def test_dense_search_in_blocks_is_exact(spark):
