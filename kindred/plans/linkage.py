@@ -55,7 +55,7 @@ def pair_features(s1: DataFrame, records: DataFrame, pairs: DataFrame, profile:
     return f
 
 
-def specialist(f: DataFrame, scored: DataFrame, s1: DataFrame, records: DataFrame, profile: dict, save, train=None) -> DataFrame:
+def specialist(f: DataFrame, scored: DataFrame, s1: DataFrame, records: DataFrame, profile: dict, save, train=None, rounds: int = 40) -> DataFrame:
     """`scored` with the pairs of records without an address scored by a model of their own, which also looks at n-gram scores,
     at a record's other candidates, at the first model's out-of-fold view and, by profile, at names as written; `scored`
     itself where there is nothing to learn from."""
@@ -71,11 +71,11 @@ def specialist(f: DataFrame, scored: DataFrame, s1: DataFrame, records: DataFram
     if learn.select("label").distinct().count() < 2:
         return scored
     # stage A sees each training record by models that haven't seen it, stage B learns from what they say
-    first = save(model.out_of_fold(learn, names, folds=3, rounds=8, depth=3).withColumnRenamed("p", "p_a").select("rec", "s1", "p_a"), "stage_a")
-    every = model.score(model.fit_gbt(learn, names, rounds=8, depth=3), own, names, "p_all")
+    first = save(model.out_of_fold(learn, names, folds=3, rounds=max(rounds // 5, 2), depth=3).withColumnRenamed("p", "p_a").select("rec", "s1", "p_a"), "stage_a")
+    every = model.score(model.fit_gbt(learn, names, rounds=max(rounds // 5, 2), depth=3), own, names, "p_all")
     staged = save(every.join(first, ["rec", "s1"], "left").withColumn("p_a", F.coalesce("p_a", "p_all")).drop("p_all"), "staged")
     taught = staged if train is None else staged.where(train)
-    better = model.score(model.fit_gbt(taught, [*names, "p_a"], rounds=20, depth=4), staged, [*names, "p_a"]).withColumn("has_addr", F.lit(False))
+    better = model.score(model.fit_gbt(taught, [*names, "p_a"], rounds=max(rounds // 2, 2), depth=4), staged, [*names, "p_a"]).withColumn("has_addr", F.lit(False))
     return decision.replace_rows(scored, better.select(*scored.columns))
 
 
@@ -86,10 +86,10 @@ def chosen_rule(rt: DataFrame, truth: DataFrame, s1: DataFrame, profile: dict, o
     return metrics.tuned_rule(rt, truth, s1, profile["rule"], metrics.rule_grid(), populations.halves("rec"), weight)
 
 
-def link(sources: list, truth: DataFrame, profile: str = "default", save=None, train=None, tune_on=None, orphan_share: float | None = None) -> dict:
+def link(sources: list, truth: DataFrame, profile: str = "default", save=None, train=None, tune_on=None, orphan_share: float | None = None, rounds: int = 40) -> dict:
     """sources: raw tables of S1, S2 and S3. truth: (s1, rec). train: condition on rec of the records that models learn from;
-    tune_on: of those that the rule is chosen on (by default all that no model learned from). Returns the tables of each
-    step; `save` writes a step and reads it again, by default in the cluster's shared folder."""
+    tune_on: of those that the rule is chosen on (by default all that no model learned from). rounds: trees of the ranker, by
+    which the other models are sized too. Returns the tables of each step; `save` writes a step and reads it again, by default in the cluster's shared folder."""
     p = PROFILES[profile]
     save = save or Store(truth.sparkSession, f"link-{profile}").save
     s1, *rest = [save(normalize_entities(s), f"source{i + 1}") for i, s in enumerate(sources)]
@@ -103,16 +103,16 @@ def link(sources: list, truth: DataFrame, profile: str = "default", save=None, t
         known = learn.agg(*[F.collect_set(c).alias(c) for c in CODES]).first()  # codes are few: forms and states
         f = features.unseen_codes_to_unknown(f, {c: known[c] for c in CODES})
     names = [c for c in own_columns(f) if c not in tf_columns(f)]
-    weak = model.fit_gbt(learn, names, rounds=10, depth=3)
+    weak = model.fit_gbt(learn, names, rounds=max(rounds // 4, 2), depth=3)
     mined = save(model.mine_hard(model.score(weak, learn, names, "p_mine")), "mined")
-    ranker = model.fit_gbt(mined, names, weight="weight")
+    ranker = model.fit_gbt(mined, names, weight="weight", rounds=rounds)
     scored = save(model.score(ranker, f, names).withColumn("has_addr", F.col("q_has_addr") == 1).select("rec", "s1", "p", "label", "has_addr"), "scored")
     if p["specialist"]:
-        scored = save(specialist(f, scored, s1, records, p, save, train), "scored_noaddr")
+        scored = save(specialist(f, scored, s1, records, p, save, train, rounds), "scored_noaddr")
     second = collective.pass2_features(scored, s1.unionByName(records)).withColumnRenamed("p", "p_first")
     second = save(second, "second")
     again = own_columns(second)
-    refit = model.fit_gbt(second if train is None else second.where(train), again, rounds=20, depth=4)
+    refit = model.fit_gbt(second if train is None else second.where(train), again, rounds=max(rounds // 2, 2), depth=4)
     final = save(model.score(refit, second, again), "final")
     rt = decision.record_table(final).join(records.select(F.col("entity_id").alias("rec"), "country"), "rec")
     rt = save(rt.join(truth.select("rec").distinct().withColumn("owned", F.lit(True)), "rec", "left").fillna(False, ["owned"]), "records")

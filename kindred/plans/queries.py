@@ -892,5 +892,5 @@ def derived_sources(spark, d):
 def link_sources(spark, d):
     """The plan from raw sources to the decision of each record, learned on seven tenths of the records."""
     sources, truth = derived_sources(spark, d)
-    out = linkage.link(sources, truth, train=C.in_share(F.col("rec"), 10, 7, "t"))
+    out = linkage.link(sources, truth, train=C.in_share(F.col("rec"), 10, 7, "t"), rounds=12)
     return out["decided"].select("rec", "s1", F.round("p1", 6).alias("p1"), "accept", "owned")

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred.functions.columns import in_share
-from kindred.operators import blocking, decision, metrics, validate
-from kindred.plans.linkage import link
+from kindred.operators import blocking, decision, features, metrics, model, validate
+from kindred.plans.linkage import leave_country_out, link
 from kindred.sources import files
 from kindred.streaming.incremental import link_stream
 
@@ -43,7 +43,7 @@ def linked(spark, tmp_path_factory, request):
         return spark.read.parquet(f"{base}/{name}")
 
     pairs = spark.createDataFrame(truth, "s1 string, rec string")
-    return link([make(s1), make(s2), make(s3)], pairs, request.param, save, in_share(F.col("rec"), 10, 7, "t")), pairs
+    return link([make(s1), make(s2), make(s3)], pairs, request.param, save, in_share(F.col("rec"), 10, 7, "t"), rounds=10), pairs
 
 
 def test_quality_on_records_that_no_model_saw(linked):
@@ -63,6 +63,60 @@ def test_invariants(spark, linked):
     assert metrics.recall_at(out["pairs"].withColumn("r", F.lit(1)), truth, "r").first()["recall_1"] > 0.9
 
 
+def test_models_of_the_plan(spark, linked):
+    """What the flags do to the ranker, a country that no model has seen, and the acceptance model."""
+    out, truth = linked
+    ranker, names = out["models"]["ranker"]
+    assert {"legal_code_q", "num_conflict", "both", "from_s3"} <= set(names) and not any(n.startswith("tf_") for n in names)
+    told = {r["flag"]: r for r in model.against_the_flags(ranker, out["features"], names, features.CONFLICT_FLAGS).collect()}
+    assert set(told) == set(features.CONFLICT_FLAGS) and all(r["rising"] < 0.5 and r["most"] < 0.5 for r in told.values())
+
+
+def test_country_that_no_model_saw(spark):
+    """Two countries alike: the model of one serves the other nearly as well."""
+    draw = random.Random(4)
+    rows = [(f"S2-{i}", f"S1-{i if j == 0 else (i + j) % 90}", int(j == 0), 1, 60 + 35 * (j == 0) + draw.random() * 8, draw.random()) for i in range(90) for j in range(3)]
+    f = spark.createDataFrame(rows, "rec string, s1 string, label int, q_has_addr int, name_ratio double, noise double")
+    country = spark.createDataFrame([(f"S2-{i}", "ab"[i % 2]) for i in range(90)], "rec string, country string")
+    truth = spark.createDataFrame([(f"S2-{i}", f"S1-{i}") for i in range(90)], "rec string, s1 string")
+    s1 = spark.createDataFrame([(f"S1-{i}", "ab"[i % 2]) for i in range(90)], "entity_id string, country string")
+    for relative in (False, True):
+        got = {(r["country"], r["how"]): r for r in leave_country_out(f, country, truth, s1, {"thr_addr": 0.5, "thr_noaddr": 0.5, "margin": 0.0}, relative, rounds=3, depth=2).collect()}
+        assert set(got) == {(c, h) for c in "ab" for h in ("seen", "unseen")} and all(r["entities"] == 45 and r["f05"] > 0.9 for r in got.values())
+
+
+def test_pairs_to_train_and_acceptance(spark):
+    draw = random.Random(5)
+    rows = [(f"r{i}", f"e{j}", int(j == 0), 0.98 if j == 0 and i % 3 else draw.random() * 0.9) for i in range(200) for j in range(6)]
+    scored = spark.createDataFrame(rows, "rec string, s1 string, label int, p double").withColumn("has_addr", F.lit(True))
+    got = model.mine_pairs(scored).collect()
+    p = {(r, s): x for r, s, _, x in rows}
+    hard = [r for r in got if r["hard"]]
+    assert {(r["rec"], r["s1"]) for r in hard if r["label"]} == {(r, s) for r, s, y, x in rows if y and x < 0.9}
+    for i in range(200):
+        wrong = sorted((x for r, s, y, x in rows if r == f"r{i}" and not y and x > 0.02), reverse=True)[:3]
+        assert sorted((p[r["rec"], r["s1"]] for r in hard if r["rec"] == f"r{i}" and not r["label"]), reverse=True) == wrong
+    assert len([r for r in got if r["label"] and not r["hard"]]) > 20
+    assert {(r["rec"], r["s1"]) for r in model.mine_pairs(scored, listwise=True).where("label = 1").collect()} == {(r, s) for r, s, y, _ in rows if y}
+    rt = decision.record_table(scored).withColumn("owned", F.lit(True))
+    q = model.accept_scores(rt, folds=2, rounds=3, depth=2)
+    assert q.count() == 200 and metrics.auc(q.withColumn("p", F.col("q"))).first()["auc"] > 0.8
+
+
+def test_tuned_rule_is_confirmed(spark):
+    """A rule that fits one half by chance isn't taken, one that both halves bear out is."""
+    rows = [(f"r{i}", f"e{i}", 0.97 if i % 3 else 0.8, 0.0, int(i % 3 != 0), True, True) for i in range(300)]
+    rt = spark.createDataFrame(rows, "rec string, s1 string, p1 double, p2 double, label1 int, has_addr boolean, owned boolean")
+    truth = spark.createDataFrame([(f"r{i}", f"e{i}" if i % 3 else f"x{i}") for i in range(300)], "rec string, s1 string")
+    s1 = truth.select(F.col("s1").alias("entity_id"))
+    low = {"thr_addr": 0.5, "thr_noaddr": 0.5, "margin": 0.0}
+    half = in_share(F.col("rec"), 2, 1, "half")
+    assert metrics.tuned_rule(rt, truth, s1, low, metrics.rule_grid(), half)["thr_addr"] > 0.8
+    good = {"thr_addr": 0.9, "thr_noaddr": 0.9, "margin": 0.0}
+    assert metrics.tuned_rule(rt, truth, s1, good, metrics.rule_grid(), half) == good
+    assert metrics.pilot_passes(0.98, 0.982, 0.9, 0.903) and not metrics.pilot_passes(0.9, 0.98, 0.9, 0.9) and metrics.recall_passes(0.995) and not metrics.recall_passes(0.99)
+
+
 def test_validator_finds_faults(spark):
     make = lambda rows, c: spark.createDataFrame(rows, f"source1_entity_id string, {c} string")
     s1 = spark.createDataFrame([("S1-1",), ("S1-2",), ("S1-3",)], "entity_id string")
