@@ -5,7 +5,11 @@ state emits the class while the class emits the word by its corpus count. The ta
 needs (states x classes, and a dictionary of frequent words) have fixed sizes; the open vocabulary
 stays a distributed table that meets the documents in one join.
 
-Defined results: a null or empty text is one end token. With no training rows every count is 0, so the
+Baum-Welch starts from values that a small sample of different rows gives, and then runs over all training
+rows; the sample's size hardly moves the held-out likelihood (README).
+
+Defined results: a null or empty text is one end token. A text of any length is scored whole, in blocks.
+Words of equal counts stand in the order of their bytes. With no training rows every count is 0, so the
 base score is 0 and the model is uniform. Repeated rows are scored each for themselves; a null id
 counts as the empty text when rows are dealt to folds. Other columns of the input are ignored.
 """
