@@ -4,6 +4,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -21,6 +22,8 @@ FAMILIES = "npqkgixahsyz"
 GRAM, GRAMS = 4, 28
 
 BLOCK_ROWS = 8192  # vectors of either side that one task of the dense search compares
+BLOCK_WEIGHTS = 1 << 18  # n-gram weights of either side that one task of the TF-IDF search holds
+CELLS = 1 << 21  # scores, and products on their way into them, that such a task has at a time
 
 
 def top(df: DataFrame, by: str, score: str, tie: str, k: int | None, rank: str) -> DataFrame:
@@ -93,6 +96,28 @@ def sparse_search(query_keys: DataFrame, postings: DataFrame, norms: DataFrame,
     return top(scored, "rec", "sparse_score", "s1", k, "sparse_rank")
 
 
+def in_blocks(queries: DataFrame, entities: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Both sides (id, scope and values alike) with qb, eb and side (0: queries), cut by hash of the id into their scope's
+    blocks, as `sizes` (scope, nq, ne) has them; a row is sent once for each block of the other side."""
+
+    def cut(rows, own, n_own, other, n_other, side):
+        rows = rows.join(sizes, "scope").withColumn(own, F.pmod(F.xxhash64("id"), F.col(n_own)).cast("int"))
+        rows = rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1))).withColumn("side", F.lit(side))
+        return rows.drop("nq", "ne")
+
+    return cut(queries, "qb", "nq", "eb", "ne", 0).unionByName(cut(entities, "eb", "ne", "qb", "nq", 1))
+
+
+def best_cells(scores: np.ndarray, k: int, above: float):
+    """(row, column) of each row's best k scores over `above`, best first, equal ones in the order of their columns."""
+    least = np.partition(scores, -k, axis=1)[:, -k, None] if scores.shape[1] > k else above
+    row, col = np.nonzero((scores >= least) & (scores > above))
+    order = np.lexsort((col, -scores[row, col], row))
+    row, col = row[order], col[order]
+    best = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[best], col[best]
+
+
 def dense_search(queries: DataFrame, entities: DataFrame, k: int = 10, scope: str = "country", block: int = 1024, spread: int | None = None, skip_self: bool = False) -> DataFrame:
     """(rec, s1, dense_score, dense_rank): exact cosine top-k inside a scope; rows without a vector are in no pair.
     Inside each scope both sides are cut by hash into as many blocks of about BLOCK_ROWS as the scope's own counts need
@@ -102,13 +127,7 @@ def dense_search(queries: DataFrame, entities: DataFrame, k: int = 10, scope: st
     q, e = known(queries), known(entities)
     parts = lambda df, name: df.groupBy("scope").agg((F.lit(spread) if spread else F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).cast("int").alias(name))
     sizes = parts(q, "nq").join(parts(e, "ne"), "scope")
-
-    def blocks(rows, own, n_own, other, n_other, side):
-        rows = rows.join(sizes, "scope").withColumn(own, F.pmod(F.xxhash64("id"), F.col(n_own)).cast("int"))
-        rows = rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1))).withColumn("side", F.lit(side))
-        return rows.drop("nq", "ne")
-
-    rows = blocks(q, "qb", "nq", "eb", "ne", 0).unionByName(blocks(e, "eb", "ne", "qb", "nq", 1))
+    rows = in_blocks(q, e, sizes)
     kind = dict(queries.dtypes)["id"]
 
     def compare(t: pa.Table) -> pa.Table:
@@ -124,12 +143,8 @@ def dense_search(queries: DataFrame, entities: DataFrame, k: int = 10, scope: st
             scores = np.round(m[part] @ m[e].T, 6)
             if skip_self:
                 scores[place[part][:, None] == place[e][None, :]] = -np.inf
-            least = np.partition(scores, -k, axis=1)[:, -k, None] if len(e) > k else -np.inf
-            row, col = np.nonzero((scores >= least) & (scores > -np.inf))
-            order = np.lexsort((col, -scores[row, col], row))
-            row, col = row[order], col[order]
-            best = np.arange(len(row)) - np.searchsorted(row, row) < k
-            found.append((part[row[best]], e[col[best]], scores[row[best], col[best]]))
+            row, col = best_cells(scores, k, -np.inf)
+            found.append((part[row], e[col], scores[row, col]))
         rec, s1, score = (np.concatenate(x) for x in zip(*found))
         return pa.table({"rec": ids.take(pa.array(rec)), "s1": ids.take(pa.array(s1)), "dense_score": pa.array(score)})
 
@@ -167,13 +182,58 @@ def tfidf_rows(df: DataFrame, units: Column, idf: DataFrame | None = None):
     return raw.select("id", "scope", "gram", (F.col("w") / size).alias("weight")), idf
 
 
-def tfidf_search(queries: DataFrame, entities: DataFrame, units: Column, k: int = 100) -> DataFrame:
-    """(rec, s1, score, rank) over tables of (id, scope, text columns); pairs without a shared gram are left out."""
-    s, idf = tfidf_rows(entities, units)
-    q, _ = tfidf_rows(queries, units, idf)
-    pairs = q.select(F.col("id").alias("rec"), "scope", "gram", F.col("weight").alias("qw")).join(s.withColumnRenamed("id", "s1"), ["scope", "gram"])
-    scored = pairs.groupBy("rec", "s1").agg(F.round(F.sum(F.col("qw") * F.col("weight")), 6).alias("score")).where("score > 0")
-    return top(scored, "rec", "score", "s1", k, "rank")
+def products(at: np.ndarray, starts: np.ndarray, counts: np.ndarray, weights: np.ndarray, columns: np.ndarray, entity_weights: np.ndarray, shape) -> np.ndarray:
+    """Scores of `shape`: entry i adds weights[i] times each of counts[i] postings from starts[i] on to row at[i]. The
+    products are made in pieces of about CELLS, so that an n-gram which all rows share takes no more memory than others."""
+    flat = np.zeros(shape[0] * shape[1])
+    if len(at):
+        edges = np.flatnonzero(np.diff(np.cumsum(counts) // CELLS)) + 1
+        for lo, hi in zip([0, *edges], [*edges, len(at)]):
+            n = counts[lo:hi]
+            posting = np.repeat(starts[lo:hi] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            flat += np.bincount(np.repeat(at[lo:hi], n) * shape[1] + columns[posting], np.repeat(weights[lo:hi], n) * entity_weights[posting], len(flat))
+    return flat.reshape(shape)
+
+
+def tfidf_search(queries: DataFrame, entities: DataFrame, units: Column, k: int = 100, most: int = BLOCK_WEIGHTS) -> DataFrame:
+    """(rec, s1, score, rank) over tables of (id, scope, text columns) with unique ids: exact product over all shared
+    n-grams, frequent ones included; pairs without a shared one are left out. Inside each scope both sides are cut into
+    blocks of about `most` weights. A task multiplies one block by another and passes on its own best k of each query,
+    so that no pair and no list of a frequent n-gram is shuffled."""
+    weighed, idf = tfidf_rows(entities, units)
+    vectors = lambda df: df.groupBy("id", "scope").agg(F.collect_list(F.struct("gram", "weight")).alias("v")).select("id", "scope", F.col("v.gram").alias("grams"), F.col("v.weight").alias("weights"))
+    parts = lambda df, name: df.groupBy("scope").agg(F.greatest(F.ceil(F.sum(F.size(units)) / most), F.lit(1)).cast("int").alias(name))
+    rows = in_blocks(vectors(tfidf_rows(queries, units, idf)[0]), vectors(weighed), parts(queries, "nq").join(parts(entities, "ne"), "scope"))
+    kind = dict(queries.dtypes)["id"]
+
+    def compare(t: pa.Table) -> pa.Table:
+        side, ids = t.column("side").to_numpy(), t.column("id").combine_chunks()
+        place = pc.rank(ids, tiebreaker="dense").to_numpy()  # ties stand in the order of ids
+        lists = t.column("grams").combine_chunks()
+        owner = pc.list_parent_indices(lists).to_numpy()
+        code = pc.list_flatten(lists).dictionary_encode().indices.to_numpy()
+        weight = pc.list_flatten(t.column("weights").combine_chunks()).to_numpy()
+        q, e = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        e = e[np.argsort(place[e], kind="stable")]
+        number = np.empty(len(ids), np.int64)  # of a row among those of its side
+        number[q], number[e] = np.arange(len(q)), np.arange(len(e))
+        asked, had = np.flatnonzero(side[owner] == 0), np.flatnonzero(side[owner] == 1)
+        had = had[np.argsort(code[had], kind="stable")]
+        starts = np.searchsorted(code[had], code[asked])
+        counts = np.searchsorted(code[had], code[asked], "right") - starts
+        row, step = number[owner[asked]], max(1, CELLS // max(1, len(e)))
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for first in range(0, len(q), step) if len(e) else ():
+            lo, hi = np.searchsorted(row, [first, first + step])
+            shape = min(step, len(q) - first), len(e)
+            scores = np.round(products(row[lo:hi] - first, starts[lo:hi], counts[lo:hi], weight[asked[lo:hi]], number[owner[had]], weight[had], shape), 6)
+            r, c = best_cells(scores, k, 0.0)
+            found.append((q[first + r], e[c], scores[r, c]))
+        rec, s1, score = (np.concatenate(x) for x in zip(*found))
+        return pa.table({"rec": ids.take(pa.array(rec)), "s1": ids.take(pa.array(s1)), "score": pa.array(score)})
+
+    near = rows.groupBy("scope", "qb", "eb").applyInArrow(compare, f"rec {kind}, s1 {kind}, score double")
+    return top(near, "rec", "score", "s1", k, "rank")
 
 
 def adaptive_cut(candidates: DataFrame, frac: float = 0.85, cap: int = 100, base_k: int = 10) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,6 +161,27 @@ def test_dense_search_of_ties_names_and_missing_vectors(spark):
     assert blocking.dense_search(v.limit(0), v, 2).count() == 0
 
 
+@pytest.mark.parametrize("most", [40, 1 << 18])
+def test_tfidf_search_in_blocks_is_exact(spark, most, monkeypatch):
+    """Against the join over shared n-grams: many blocks, products in many pieces, ties, an n-gram in every row, scopes
+    of one side only, empty and null texts."""
+    if most == 40:
+        monkeypatch.setattr(blocking, "CELLS", 64)
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcd"), rng.integers(1, 9)))
+    rows = [(f"{side}{i}", f"s{i % 3}", f"the {word()}") for side in "qe" for i in range(60)]
+    rows += [("q90", "s0", ""), ("q91", "s0", None), ("q92", "only", "the abc"), ("e90", "s0", ""), ("e91", "s1", None), ("e92", "other", "the abc"), ("e93", "s1", "the abca"), ("e94", "s1", "the abca")]
+    df = spark.createDataFrame(rows, "id string, scope string, text string")
+    q, e, units = df.where("id like 'q%'"), df.where("id like 'e%'"), blocking.grams(F.col("text"), 2, 3, True)
+    got = [tuple(r) for r in blocking.tfidf_search(q, e, units, 5, most).collect()]
+    weighed, idf = blocking.tfidf_rows(e, units)
+    asked = blocking.tfidf_rows(q, units, idf)[0].withColumnsRenamed({"id": "rec", "weight": "qw"})
+    pairs = asked.join(weighed.withColumnRenamed("id", "s1"), ["scope", "gram"]).groupBy("rec", "s1").agg(F.round(F.sum(F.col("qw") * F.col("weight")), 6).alias("score"))
+    assert sorted(got) == sorted(tuple(r) for r in blocking.top(pairs, "rec", "score", "s1", 5, "rank").collect())
+    assert len(got) >= 300 and {r[0] for r in got}.isdisjoint({"q91", "q92"})
+    assert blocking.tfidf_search(q.limit(0), e, units).count() == 0 and blocking.tfidf_search(q, e.limit(0), units).count() == 0
+
+
 def test_best_rule_and_orphans(spark):
     rt = spark.createDataFrame([(1, 0.9, 0.1, 1, True, True), (2, 0.6, 0.5, 0, True, True), (3, 0.95, 0.0, 1, False, True), (4, 0.7, 0.0, 0, False, False)], "rec long, p1 double, p2 double, label1 int, has_addr boolean, owned boolean")
     best = metrics.best_rule(rt, metrics.rule_grid(), metrics.orphan_weight(0.4, 1, 3))
