@@ -198,3 +198,36 @@ def test_stream(spark, tmp_path):
     stream = spark.readStream.schema(s1.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
     link_stream(stream, postings, norms, f"{tmp_path}/out", f"{tmp_path}/check").awaitTermination(120)
     assert {(r["rec"], r["s1"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {("r0", "a"), ("r1", "b")}
+
+
+def test_blocked_key_search_finds_what_the_join_finds(spark):
+    """Ties, keys that all share (weight 0) and several blocks a side."""
+    draw = random.Random(5)
+    keys = [(f"e{i}", "AB"[i % 2], f"k{j}") for i in range(90) for j in {0, *(draw.randint(1, 25) for _ in range(6))}]
+    table = spark.createDataFrame(keys, "entity_id string, country string, key string")
+    index = blocking.build_index(table.where("entity_id < 'e6'"), table.where("entity_id < 'e6'").select("entity_id").distinct().count())
+    got = lambda found: sorted(map(tuple, found.select("rec", "s1", "sparse_score", "sparse_rank").collect()))
+    want = got(blocking.sparse_search(table, *index, 7))
+    assert len(want) > 500 and got(blocking.block_search(table, *index, 7)) == got(blocking.block_search(table, *index, 7, most=40)) == want
+    bare = table.where("key = 'k0'").withColumn("country", F.lit("A"))
+    index = blocking.build_index(bare, 90)
+    assert got(blocking.block_search(bare, *index, 3)) == got(blocking.sparse_search(bare, *index, 3)) != []
+
+
+def test_partial_passes_over_stretches_that_cannot_win(monkeypatch):
+    """The same value as over all stretches, with few of them compared."""
+    from kindred.functions import similarity
+
+    def every(a, b):
+        short, long = (a, b) if len(a) <= len(b) else (b, a)
+        pieces = [long[max(0, e - len(short)) : e] for e in range(1, len(long) + len(short))]
+        return max((similarity.indel(short, p) for p in pieces if p and {p[0], p[-1]} & set(short)), default=0.0) if short else 100.0 * (not long)
+
+    draw = random.Random(2)
+    text = lambda n: "".join(draw.choice("abcd 12") for _ in range(draw.randint(0, n)))
+    for a, b in [(text(12), text(20)) for _ in range(3000)]:
+        assert similarity.partial(a, b) == every(a, b)
+    compared = []
+    monkeypatch.setattr(similarity, "indel", lambda *_: compared.append(1) or 0.0)
+    similarity.partial("main street 12", "q" * 200 + "main street 13")
+    assert len(compared) < 20
