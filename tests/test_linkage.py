@@ -231,3 +231,34 @@ def test_partial_passes_over_stretches_that_cannot_win(monkeypatch):
     monkeypatch.setattr(similarity, "indel", lambda *_: compared.append(1) or 0.0)
     similarity.partial("main street 12", "q" * 200 + "main street 13")
     assert len(compared) < 20
+
+
+def test_own_ranks_without_the_whole_lists(spark, tmp_path):
+    """Each entity's own place is the one that the whole list gives, and few pairs are looked at for it."""
+    draw = random.Random(8)
+    keys = [(f"e{i:03}", "AB"[i % 2], f"k{int(draw.random() ** 2 * 300)}") for i in range(300) for _ in range(9)]
+    keys += [("f" + e[1:], c, k) for e, c, k in keys] + [(e, c, f"often{j}") for e, c, _ in keys for j in range(6)]  # the same keys alone outdo those beside frequent ones
+    table = spark.createDataFrame(sorted({*keys}), "entity_id string, country string, key string")
+    kept = {}
+
+    def save(df, name):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return kept.setdefault(name, spark.read.parquet(f"{tmp_path}/{name}"))
+
+    whole = blocking.sparse_search(table, *blocking.build_index(table, 600, 100), None)
+    want = {r["s1"]: (r["sparse_score"], r["sparse_rank"]) for r in whole.where("rec = s1").collect()}
+    places = blocking.own_ranks(table, 600, table.select(F.col("entity_id").alias("s1")), save, 100).collect()
+    assert {r["s1"]: (r["sparse_score"], r["sparse_rank"]) for r in places} == want
+    assert max(rank for _, rank in want.values()) > 1 and kept["near"].count() < whole.count() / 2
+
+
+def test_recall_of_copies_in_other_languages_and_without_text(spark, tmp_path):
+    import duckdb
+
+    from kindred.plans.queries import ORACLES, QUERIES
+
+    rows = [(1, "a b c", "en"), (2, "a b c", "en"), (3, "a b c", "fr"), (4, "c b a", "en"), (5, "a b c", None), (6, None, "en"), (7, None, "en"), (8, "", "fr"), (9, "", "fr"), (10, "d e", "fr"), (11, "d e", "fr"), (12, "e", "fr"), (13, "b a c", "fr"), (14, "c x", "en"), (15, "c x", "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert [tuple(r) for r in QUERIES["recall_at"](spark, str(tmp_path)).collect()] == con.execute(ORACLES["recall_at"]).fetchall()
