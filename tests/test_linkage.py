@@ -262,3 +262,20 @@ def test_recall_of_copies_in_other_languages_and_without_text(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert [tuple(r) for r in QUERIES["recall_at"](spark, str(tmp_path)).collect()] == con.execute(ORACLES["recall_at"]).fetchall()
+
+
+def test_pair_features_are_made_once_for_a_pair_of_classes(spark, tmp_path):
+    """Members of a class stand in pieces and meet once, although they share two keys; null values are a class like others."""
+    n = features.MEMBERS + 60
+    rows = [(f"e{i}", "A", ["h:10", "h:20"], ["10", "20"], None) for i in range(n)] + [("x", "A", ["h:20"], ["20"], "ltd"), ("y", "B", ["h:20"], ["20"], "ltd")]
+    entities = spark.createDataFrame(rows, "entity_id string, country string, keys array<string>, nums array<string>, legal_form string")
+
+    def save(df, name):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    pairs = features.class_pairs(entities, ("nums", "legal_form"), save)
+    assert 6 <= pairs.count() <= 10
+    got = [tuple(r) for r in features.member_pairs(pairs).select("rec", "s1", F.size("q_nums"), "s_legal_form").collect()]
+    of = {r[0]: r for r in rows}
+    assert sorted(map(str, got)) == sorted(str((q, s, len(of[q][3]), of[s][4])) for q in of for s in of if of[q][1] == of[s][1])
