@@ -8,7 +8,8 @@ probabilities, and the best path by their sum is another segmentation than the m
 same fold over the same lattice merges, step by step, the adjacent pair of the best rank, which gives the
 library's ids. The dictionary has a fixed bound and goes to every task; rarer chunks, chunks over
 LATTICE_CHARS and characters outside the vocabulary are folded by the same rule where they stand, since a
-join would move several times the input to bring their ids back.
+join would move several times the input to bring their ids back; a BPE model's rarer chunks are merged many
+at a time, in arrays.
 
 Defined results: null and empty texts have no ids and decode to the empty text. A text that holds U+2581
 itself decodes with a space there, as the library does. Repeated rows are encoded each for themselves;
@@ -19,6 +20,8 @@ import heapq
 import re
 import zlib
 from collections import Counter
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,10 @@ MOST_PIECES = 1_000_000  # pieces up to which the table is broadcast
 DICTIONARY = 1 << 17  # most frequent chunks that every task holds with their ids
 DICTIONARY_CHARS = 48
 FLUSH = 50_000  # distinct chunks that a counting task holds
-CACHED = 30_000  # rarer chunks that a task remembers
+CACHED, CACHED_CHARS = 30_000, 128  # chunks that a task encodes one by one and remembers
+CELLS = 1 << 16  # characters of rarer chunks that are merged side by side
+BITS, TRIES = 21, 50  # of a part's number in the table of pairs; places tried for a row of it
+NEVER = (1 << BITS) - 1  # the rank of pairs that don't merge
 ENCODED = 128  # texts whose ids a task holds at once
 
 
@@ -271,52 +277,135 @@ def frequent_chunks(counts: DataFrame, most: int) -> DataFrame:
     return short.where(level >= least).select("chunk")
 
 
-class Codes(dict):
-    """Chunk to number: below `base` the shared dictionary, above it chunks that this task has met and encoded."""
-
-    def __init__(self, chunks, model):
-        super().__init__(zip(chunks, range(len(chunks))))
-        self.base, self.model, self.own, self.values, self.lengths = len(chunks), model, [], [], []
-
-    def __missing__(self, chunk):
-        ids = self.model.encode_chunk(chunk)
-        self[chunk] = i = self.base + len(self.own)
-        self.own.append(chunk)
-        self.values += ids
-        self.lengths.append(len(ids))
-        return i
-
-    def shrink(self):
-        if len(self.own) > CACHED:
-            for c in self.own:
-                del self[c]
-            self.own, self.values, self.lengths = [], [], []
+def merge_tables(model: PieceModel) -> dict | None:
+    """A BPE model's pairs as arrays, so that many chunks can be merged side by side; None where there are none.
+    Parts are numbered by rank. The pair of x and y is looked up at shift[x] + y of `slots`, which holds x, the merge's
+    rank and its number in BITS bits each; rows of x are laid over each other where they leave one another's slots free."""
+    order = sorted(model.ranks, key=model.ranks.get)
+    names = order + sorted({c for p in order for c in p} - model.ranks.keys())
+    number, none = {p: n for n, p in enumerate(names)}, len(names)
+    pairs = [(number[p[:k]], number[p[k:]], model.ranks[p], n) for n, p in enumerate(order) for k in range(1, len(p)) if p[:k] in number and p[k:] in number]
+    if model.kind != "bpe" or not pairs or none >= 1 << BITS:
+        return None
+    pairs = np.array(sorted(pairs), np.int64)
+    left, first, sizes = np.unique(pairs[:, 0], return_index=True, return_counts=True)
+    shift, slots, draw = np.zeros(none + 1, np.int64), np.full(2 * none + 2, -1, np.int64), np.random.default_rng(0)
+    for k in np.argsort(-sizes, kind="stable"):
+        x, y, rank, n = pairs[first[k] : first[k] + sizes[k]].T
+        for at in draw.integers(len(slots) - none, size=TRIES):
+            if (slots[y + at] < 0).all():
+                break
+        else:
+            at = len(slots)
+            slots = np.concatenate([slots, np.full(none + 1, -1, np.int64)])
+        shift[left[k]] = at
+        slots[y + at] = (x << 2 * BITS) | (rank << BITS) | n
+    ids = np.array([model.ids.get(p, -1) for p in names] + [-1], np.int32)
+    single = {ord(p): n for p, n in number.items() if len(p) == 1}
+    chars = np.full(max(single) + 2, none, np.int32)
+    chars[list(single)] = list(single.values())
+    return {"shift": shift, "slots": slots, "ids": ids, "chars": chars}
+
+
+def numbers_of(chunks: list, t: dict) -> np.ndarray:
+    """Numbers of all characters, one chunk after the other; the last number for those that no piece holds."""
+    return t["chars"][np.minimum(np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32), len(t["chars"]) - 1)]
+
+
+def merge_rows(chunks: list, t: dict):
+    """Ids of all chunks, one after the other, and how many each has: every round merges in each chunk the leftmost pair
+    of the best rank. Characters must have ids."""
+    shift, slots, none = t["shift"], t["slots"], len(t["ids"]) - 1
+
+    def pair(x, y):
+        """Rank and number of the merge; the rank is NEVER where there is none."""
+        found = slots[shift[x] + y]
+        return np.where(found >> 2 * BITS == x, (found >> BITS) & NEVER, NEVER).astype(np.int32), found & NEVER
+
+    n = np.fromiter(map(len, chunks), np.int64, len(chunks))
+    width = int(n.max()) + 2  # a part that pairs with nothing stands before each chunk and after it
+    at = np.arange(width)
+    live = (at > 0) & (at <= n[:, None])
+    parts = np.full(live.shape, none, np.int32)
+    parts[live] = numbers_of(chunks, t)
+    ranks = np.full(live.shape, NEVER, np.int32)
+    ranks[:, :-1] = pair(parts[:, :-1], parts[:, 1:])[0]
+    after, before = (np.broadcast_to(at + d, live.shape).ravel() for d in (1, -1))
+    after, before, part, rank, alive = after.copy(), before.copy(), parts.reshape(-1), ranks.reshape(-1), live.reshape(-1)
+    rows = np.arange(len(chunks))
+    while True:
+        best = ranks[rows].argmin(axis=1)
+        going = ranks[rows, best] < NEVER
+        rows, best = rows[going], best[going]
+        if not len(rows):
+            break
+        start = rows * width
+        i = start + best
+        j, h = start + after[i], start + before[i]
+        end = start + after[j]
+        part[i] = new = pair(part[i], part[j])[1]
+        alive[j], rank[j] = False, NEVER
+        after[i], before[end] = after[j], best
+        rank[i], rank[h] = pair(new, part[end])[0], pair(part[h], new)[0]
+    return t["ids"][parts[live]], live.sum(axis=1)
+
+
+def encode_new(chunks, t: dict | None, one):
+    """The different chunks in some order, their ids one after the other, and how many each has. `one` encodes those that
+    can't be merged side by side: long ones, and those with characters that have no piece."""
+    fresh = sorted(set(chunks), key=len)
+    near = [c for c in fresh if len(c) <= LATTICE_CHARS] if t else []
+    if near:
+        n = np.fromiter(map(len, near), np.int64, len(near))
+        odd = np.logical_or.reduceat(t["ids"][numbers_of(near, t)] < 0, np.cumsum(n) - n)
+        if odd.any():
+            near = [c for c, o in zip(near, odd.tolist()) if not o]
+    values, lengths, at = [], [], 0
+    while at < len(near):  # of about the same length, so that little of a rectangle is empty
+        to = min(len(near), at + CELLS // (len(near[at]) + 2))
+        to = min(to, at + CELLS // (len(near[to - 1]) + 2))
+        ids, n = merge_rows(near[at:to], t)
+        values.append(ids)
+        lengths.append(n)
+        at = to
+    if len(near) < len(fresh):
+        done = set(near)
+        far = [c for c in fresh if c not in done]
+        got = [one(c) for c in far]
+        values.append(np.array([i for ids in got for i in ids], np.int32))
+        lengths.append(np.fromiter(map(len, got), np.int64, len(got)))
+        near = near + far
+    return near, values, lengths
 
 
 def encode_batches(shared, model, id_type):
     find = re.compile(model.cut).findall
 
     def run(batches):
-        v = shared.value
+        v, kept = shared.value, lru_cache(CACHED)(model.encode_chunk)
+        one = lambda chunk: kept(chunk) if len(chunk) <= CACHED_CHARS else model.encode_chunk(chunk)
         if "codes" not in v:  # one dictionary for all tasks of a worker
             table = v.pop("table")
             ids = table.column("ids").combine_chunks()
-            v["codes"] = Codes(table.column("chunk").to_pylist(), model)
+            v["codes"] = {c: k for k, c in enumerate(table.column("chunk").to_pylist())}
             v["values"], v["lengths"] = ids.flatten().to_numpy().astype(np.int32), np.diff(ids.offsets.to_numpy()).astype(np.int64)
             del table, ids
-        codes = v["codes"]
+        code, base = v["codes"].get, len(v["codes"])
         for batch in (whole.slice(at, ENCODED) for whole in batches for at in range(0, whole.num_rows, ENCODED)):
-            parts, sizes, sums = [], [], []
+            parts, sizes, sums, new = [], [], [], []
             for raw in batch.column(1).to_pylist():
                 text = raw.decode("utf-8", "replace")
                 chunks = find((SPACE if model.dummy_prefix else "") + text.replace(" ", SPACE)) if text else []
-                parts.append(np.fromiter(map(codes.__getitem__, chunks), np.int64, len(chunks)))
+                parts.append(np.fromiter(map(code, chunks, repeat(-1)), np.int64, len(chunks)))
+                new += [chunks[k] for k in np.flatnonzero(parts[-1] < 0).tolist()]
                 sizes.append(len(chunks))
                 sums.append(zlib.crc32(text.encode()))
-            values = np.concatenate([v["values"], np.array(codes.values, np.int32)])
-            lengths = np.concatenate([v["lengths"], np.array(codes.lengths, np.int64)])
-            starts = np.cumsum(lengths) - lengths
             own = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+            fresh, values, lengths = encode_new(new, v["merges"], one)
+            rarer = dict(zip(fresh, range(base, base + len(fresh))))
+            own[own < 0] = np.fromiter(map(rarer.__getitem__, new), np.int64, len(new))
+            values, lengths = np.concatenate([v["values"], *values]), np.concatenate([v["lengths"], *lengths])
+            starts = np.cumsum(lengths) - lengths
             n = lengths[own]
             bounds = np.concatenate([[0], np.cumsum(n)])
             got = values[np.repeat(starts[own] - bounds[:-1], n) + np.arange(bounds[-1])]
@@ -324,7 +413,6 @@ def encode_batches(shared, model, id_type):
             good = [zlib.crc32(model.decode(got[a:b].tolist()).encode()) == c for a, b, c in zip(bounds[:-1], bounds[1:], sums)]
             ids = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(got, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(id_type), pa.array(np.diff(bounds)), ids, pa.array(good, pa.bool_())], ["doc_id", "n_tokens", "ids", "round_trip"])
-            codes.shrink()
 
     return run
 
@@ -348,7 +436,7 @@ class PieceCodec:
         counts = scratch.save(counts.groupBy("chunk").agg(F.sum("n").alias("n")), "counts")
         chunks = scratch.save(frequent_chunks(counts, self.dictionary), "frequent")
         table = scratch.save(encode_chunks(chunks, model), "dictionary").toArrow()
-        shared = self.spark.sparkContext.broadcast({"table": table.select(["chunk", "ids"])})
+        shared = self.spark.sparkContext.broadcast({"table": table.select(["chunk", "ids"]), "merges": merge_tables(model)})
         id_type = to_arrow_type(kind)
         return source.mapInArrow(encode_batches(shared, model, id_type), f"doc_id {kind.simpleString()}, n_tokens long, ids array<int>, round_trip boolean")
 

@@ -726,6 +726,29 @@ def test_short_and_long_merges_agree(spark):
         assert model.encode_chunk(chunk) == model.encode_long(chunk)
 
 
+def test_rarer_chunks_are_merged_side_by_side(spark, monkeypatch):
+    """No chunk of known characters and at most LATTICE_CHARS is folded alone; ids are those of the fold of one chunk."""
+    model = pieces.PieceCodec(spark).model
+    draw = np.random.default_rng(9)
+    words = ["".join(draw.choice(list("abcdeinrstz,._é日"), draw.integers(1, 61))) for _ in range(400)]
+    spaces = [" " * k + w[: 61 - k] for k, w in zip(range(1, 30), words)]  # runs of spaces are pieces of one rank
+    plain = [" ".join(words), "".join(spaces), "", "x"]
+    odd = ["a\n\tb" * 3, "q" * 63 + " " + "ab" * 90, "\U0001f9ff\U0010ffff word\U000f0000 \ue000", "\U000f0000" * 130 + " ok"]
+    want = [model.encode(t) for t in plain + odd]
+    alone, fold = [], pieces.PieceModel.encode_chunk
+    monkeypatch.setattr(pieces.PieceModel, "encode_chunk", lambda self, chunk: alone.append(chunk) or fold(self, chunk))
+    known = pa.table({"chunk": ["▁x"], "ids": pa.array([model.encode("x")], pa.list_(pa.int32()))})
+    for cells in (1 << 16, 64):
+        monkeypatch.setattr(pieces, "CELLS", cells, raising=False)
+        for texts, most in ((plain, 0), (plain + odd, 9)):
+            shared = type("Shared", (), {"value": {"table": known, "merges": getattr(pieces, "merge_tables", lambda m: None)(model)}})
+            alone.clear()
+            batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([t.encode() for t in texts])], ["doc_id", "text"])
+            (out,) = pieces.encode_batches(shared, model, pa.int64())([batch])
+            assert out.column("ids").to_pylist() == want[: len(texts)] and all(out.column("round_trip").to_pylist())
+            assert len(alone) <= most, alone
+
+
 def test_viterbi_of_a_unigram_model(spark):
     draw = np.random.default_rng(4)
     every = sorted({"".join(draw.choice(list("abc"), n)) for n in (1, 2, 3, 4) for _ in range(20)} | set("abc") | {"▁"})
