@@ -4,6 +4,7 @@ import atexit
 import sys
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -82,6 +83,19 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """What a query run in here shuffles leaves the executors' disks as the query ends. Spark else keeps it until the
+    driver's next garbage collection, which may not come before later queries have filled the disks."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    told = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if told is None else spark.conf.set(key, told)
+
+
 class Scratch:
     """Intermediate tables, written as Parquet in the shared checkpoint folder: lineage ends there,
     a lost executor costs no recomputation, and other executors can read them. Removed at exit."""

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -206,6 +207,30 @@ def test_warc(spark, tmp_path):
     assert warc.read_archive(spark, str(tmp_path / "c")).count() == 0
 
 
+@pytest.mark.parametrize("told", [None, "false"])
+def test_warc_leaves_no_shuffle(spark, tmp_path, told):
+    """What is shuffled for an archive doesn't stay on the disks until the driver collects garbage; the session's setting comes back."""
+    disks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: set(re.findall(r"shuffle_\d+_\d+_\d+\.data", disks.getAllFiles().mkString(" ")))
+    html = F.repeat(F.sha2(F.pmod("id", F.lit(300)).cast("string"), 256), 20)
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", files()
+    if told:
+        spark.conf.set(key, told)
+    try:
+        warc.write_archive(pages, str(tmp_path / "a"))
+        assert spark.conf.get(key, None) == told
+    finally:
+        spark.conf.unset(key)
+    until = time.monotonic() + 5  # executors remove files while the driver goes on
+    while files() - before and time.monotonic() < until:
+        time.sleep(0.05)
+    assert not files() - before
+    archive = warc.read_archive(spark, str(tmp_path / "a"))
+    for _ in range(2):
+        assert Counter(r["record_type"] for r in archive.collect()) == {"response": 300, "revisit": 100}
+
+
 # ------------------------------------------------------------------ 4 and 6
 
 
