@@ -182,6 +182,45 @@ def test_tfidf_search_in_blocks_is_exact(spark, most, monkeypatch):
     assert blocking.tfidf_search(q.limit(0), e, units).count() == 0 and blocking.tfidf_search(q, e.limit(0), units).count() == 0
 
 
+def test_block_products_grow_with_the_products(monkeypatch):
+    """4,000 queries that share a key with two of 4,000 entities each: 16 million cells that were laid out, 8,000 products that
+    are sorted. Both ways agree, also where all share some keys and with adaptive_cut's part of each list."""
+    import pyarrow as pa
+
+    def table(q, e):
+        rows = [(0, f"q{i:05}", g) for i, g in enumerate(q)] + [(1, f"e{i:05}", g) for i, g in enumerate(e)]
+        weights = [[1.0 + (7 * len(g) + i) % 5 for i in range(len(g))] for _, _, g in rows]
+        return pa.table({"side": [r[0] for r in rows], "id": [r[1] for r in rows], "grams": [r[2] for r in rows], "weights": weights})
+
+    def laid_out(*_):
+        raise AssertionError("laid out")
+
+    few = table([[f"k{i // 2}"] for i in range(4000)], [[f"k{i // 2}"] for i in range(4000)])
+    with monkeypatch.context() as m:
+        m.setattr(blocking, "products", laid_out)
+        assert blocking.block_products(5)(few).num_rows == 8000
+    draw = random.Random(3)
+    lists = lambda n: [sorted({f"k{draw.randint(0, 30)}" for _ in range(draw.randint(0, 7))}) for _ in range(n)]
+    many = table(lists(70), lists(900))
+    for cut in (None, (0.85, 3)):
+        ways = []
+        for sparse, long in ((0, 10**9), (10**9, 10**9), (10**9, 1)):
+            monkeypatch.setattr(blocking, "SPARSE", sparse)
+            monkeypatch.setattr(blocking, "LONG", long)
+            ways.append(sorted(map(tuple, blocking.block_products(6, cut=cut)(many).to_pandas().itertuples(index=False))))
+        assert ways[0] == ways[1] == ways[2] and len(ways[0]) > 150
+
+
+def test_cut_in_blocks_keeps_what_a_cut_of_all_keeps(spark):
+    rng = np.random.default_rng(8)
+    rows = [(f"{side}{i:03}", "s", "".join(rng.choice(list("abc"), rng.integers(2, 9)))) for side in "qe" for i in range(90)]
+    df = spark.createDataFrame(rows, "id string, scope string, text string")
+    q, e, units = df.where("id like 'q%'"), df.where("id like 'e%'"), blocking.grams(F.col("text"), 2, 3, True)
+    kept = lambda t: sorted(map(tuple, blocking.adaptive_cut(t, cap=12, base_k=4).collect()))
+    want = kept(blocking.tfidf_search(q, e, units, 12))
+    assert 200 < len(want) and kept(blocking.tfidf_search(q, e, units, 12, 40, cut=(0.85, 4))) == want
+
+
 def test_best_rule_and_orphans(spark):
     rt = spark.createDataFrame([(1, 0.9, 0.1, 1, True, True), (2, 0.6, 0.5, 0, True, True), (3, 0.95, 0.0, 1, False, True), (4, 0.7, 0.0, 0, False, False)], "rec long, p1 double, p2 double, label1 int, has_addr boolean, owned boolean")
     best = metrics.best_rule(rt, metrics.rule_grid(), metrics.orphan_weight(0.4, 1, 3))
